@@ -41,9 +41,9 @@ LAYERS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
 class Warehouse:
     """Every model as a DataFrame attribute, built on first use.
 
-    ``tables`` are the bronze tables by name. Models are lazy; dimensions and facts are
-    written once to scratch space while their keys are assigned, so everything that reads
-    them reads that copy.
+    ``tables`` are the bronze tables by name: stored tables or row-wise views of them. Models
+    are lazy; dimensions and facts are written once to scratch space while their keys are
+    assigned, so everything that reads them reads that copy.
     """
 
     def __init__(

@@ -27,24 +27,22 @@ def column_profile(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     ``by`` and column, numbered by ``position``.
     """
     by = by or []
-    columns = [c for c in df.columns if c not in by]
-    aggregates = [
-        F.count_if(test).alias(f"{position}:{name}")
-        for position, column in enumerate(columns)
-        for name, test in _tests(F.col(column).cast("string")).items()
-    ]
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
-    measures = list(_tests(F.lit("")))
-    entries = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(column).alias("column_name"),
-            F.col("rows").alias("row_count"),
-            *[F.col(f"`{position}:{m}`").alias(m) for m in measures],
-        )
-        for position, column in enumerate(columns)
-    ]
-    return counts.select(*by, F.inline(F.array(*entries)))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(position).alias("position"),
+                F.lit(column).alias("column_name"),
+                F.col(column).cast("string").alias("_text"),
+            )
+            for position, column in enumerate(c for c in df.columns if c not in by)
+        ]
+    )
+    counts = [F.count_if(test).alias(name) for name, test in _tests(F.col("_text")).items()]
+    return (
+        df.select(*by, F.inline(cells))
+        .groupBy(*by, "position", "column_name")
+        .agg(F.count(F.lit(1)).alias("row_count"), *counts)
+    )
 
 
 def with_dtype(profile: DataFrame, dates: list[str] = (), texts: list[str] = ()) -> DataFrame:
