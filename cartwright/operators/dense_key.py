@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.sources.scratch import Scratch
@@ -26,15 +28,19 @@ def dense_key(
     name: str,
     scratch: Scratch,
     key_type: str = "int",
+    order_only: tuple[str, ...] = (),
 ) -> DataFrame:
     """Prepend column ``name`` numbering the rows 1..N by ``order_by``, nulls last.
 
+    Columns in ``order_only`` take part in the order and are not kept.
+
     1. Range-partition and sort by the order, and by the row tag where there is one, so that
        a key held by many rows does not end up in one partition.
     2. Note each row's partition and place in it, and write the result once. The range
        boundaries come from a sample, so they must not be drawn twice.
-    3. Count the rows per partition, add up the counts, and add the partition's offset to
-       each row. The offsets have one row per partition, which bounds the broadcast.
+    3. Count the rows per partition and add up the counts on the driver: one number per
+       partition, however many rows there are. A key is then its partition's offset plus its
+       place, so the result is a plain scan of the copy without a join.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
     if ROW_TAG in df.columns:
@@ -44,19 +50,17 @@ def dense_key(
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop(ROW_TAG)
+        .drop(ROW_TAG, *order_only)
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     )
     staged = scratch.stage(placed, name)
-    sizes = staged.groupBy("_part").agg((F.max("_place") + 1).alias("_size"))
-    # Over the partition counts only, never over the rows.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    key = (F.col("_offset") + F.col("_place") + 1).cast(key_type)
-    return staged.join(F.broadcast(offsets), "_part").select(
-        key.alias(name), *[c for c in df.columns if c != ROW_TAG]
-    )
+    sizes = staged.groupBy("_part").agg((F.max("_place") + 1).alias("_size")).collect()
+    by_part = {row["_part"]: row["_size"] for row in sizes}
+    ends = accumulate(by_part.get(part, 0) for part in range(max(by_part, default=0) + 1))
+    # A constant array, indexed by partition; the last end is never looked up.
+    offsets = F.split(F.lit(",".join(["0", *map(str, ends)])), ",").cast("array<bigint>")
+    key = (F.get(offsets, F.col("_part")) + F.col("_place") + 1).cast(key_type)
+    kept = [c for c in df.columns if c != ROW_TAG and c not in order_only]
+    return staged.select(key.alias(name), *kept)

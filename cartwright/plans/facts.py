@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import money, ratio, to_usd
 from cartwright.operators import dense_key, lookup, with_row_tag
+from cartwright.operators.dense_key import ROW_TAG
 from cartwright.plans.dims import stamp
 from cartwright.sources.scratch import Scratch
 
@@ -39,15 +40,16 @@ def _finish(
     key_type: str,
     loaded_at: datetime | None,
 ) -> DataFrame:
-    """Number the rows and keep ``columns``; order columns that are not kept end here.
+    """Number the rows and keep ``columns``.
 
     Rows equal in ``order_by`` are told apart by their remaining columns.
     """
-    shaped = df.select(*columns, "_row_tag", *[F.col(c).alias(f"_o_{c}") for c in order_by])
-    kept = [c for c in shaped.columns if c != "_row_tag" and not c.startswith("_o_")]
-    order = [f"_o_{c}" for c in order_by] + [c for c in kept if c not in order_by]
-    keyed = dense_key(shaped, order, name, scratch, key_type)
-    return keyed.select(name, *kept, stamp(loaded_at).alias("_loaded_at"))
+    kept = df.select(*columns).columns
+    hidden = [c for c in order_by if c not in kept]
+    shaped = df.select(*columns, *hidden, ROW_TAG)
+    order = order_by + [c for c in kept if c not in order_by]
+    keyed = dense_key(shaped, order, name, scratch, key_type, tuple(hidden))
+    return keyed.withColumn("_loaded_at", stamp(loaded_at))
 
 
 def fact_orders(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,36 @@ GOLD = (
 )
 LAYERS = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}
 
+# Keyed models by level: a model reads keyed models of earlier levels only.
+KEY_LEVELS = (
+    ("dim_customers", "dim_products", "fact_campaign_performance"),
+    ("fact_orders", "fact_inventory_daily", "fact_email_engagement", "fact_purchase_orders"),
+    ("fact_order_items", "fact_payments"),
+)
+KEY_NEEDS = {
+    "fact_orders": ("dim_customers",),
+    "fact_email_engagement": ("dim_customers",),
+    "fact_inventory_daily": ("dim_products",),
+    "fact_purchase_orders": ("dim_products",),
+    "fact_order_items": ("fact_orders", "dim_products"),
+    "fact_payments": ("fact_orders", "dim_customers"),
+}
+METRIC_NEEDS = {
+    "metric_customer_lifetime_value": ("dim_customers", "fact_orders"),
+    "metric_order_conversion_rate": ("fact_orders",),
+    "metric_revenue_by_campaign": (
+        "fact_email_engagement",
+        "fact_campaign_performance",
+        "fact_orders",
+    ),
+    "metric_inventory_turnover": (
+        "fact_order_items",
+        "fact_inventory_daily",
+        "fact_purchase_orders",
+    ),
+}
+KEYED = tuple(name for level in KEY_LEVELS for name in level)
+
 
 class Warehouse:
     """Every model as a DataFrame attribute, built on first use.
@@ -231,6 +263,29 @@ class Warehouse:
             self.loaded_at,
         )
 
+    def prepare(self, *names: str) -> None:
+        """Assign the keys of the given models and of what they build on.
+
+        Models of one level do not read each other, so their jobs run side by side and
+        fill the cluster.
+        """
+        wanted = set(names)
+        for name in names:
+            wanted.update(METRIC_NEEDS.get(name, ()))
+        for level in reversed(KEY_LEVELS):
+            for name in wanted.intersection(level):
+                wanted.update(KEY_NEEDS.get(name, ()))
+        for level in KEY_LEVELS:
+            self._side_by_side(self.table, [name for name in level if name in wanted])
+
+    def _side_by_side(self, action, names: list[str]) -> None:
+        if not names:
+            return
+        for name in ("seed_category_mapping", "seed_exchange_rates", "dim_date"):
+            self.table(name)  # shared inputs: plans only, no job
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(action), names))
+
     def store(self, layers: tuple[str, ...] = tuple(LAYERS)) -> dict[str, DataFrame]:
         """Replace the catalogue tables of the given layers, in dependency order.
 
@@ -238,10 +293,19 @@ class Warehouse:
         """
         for layer in layers:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            for name in LAYERS[layer]:
+
+            def save(name: str, layer: str = layer) -> None:
                 full_name = f"{layer}.{name}"
                 self.table(name).write.mode("overwrite").format("parquet").saveAsTable(full_name)
                 self._stored[name] = self.spark.table(full_name)
+
+            names = LAYERS[layer]
+            levels = [[n for n in level if n in names] for level in KEY_LEVELS]
+            keyed = {n for level in levels for n in level}
+            metrics_ = [n for n in names if n.startswith("metric_")]
+            plain = [n for n in names if n not in keyed and n not in metrics_]
+            for level in (plain, *levels, metrics_):
+                self._side_by_side(save, level)
         self.scratch.release()
         return dict(self._stored)
 
