@@ -1,7 +1,8 @@
 """Run the checks as a few fused aggregates.
 
-Row rules of a table are counted in one scan. Distinct counts and references read one column
-each and aggregate before they shuffle. All results are rows of one DataFrame.
+Row rules of a table are counted in one scan. The keys of all duplicate checks, and of all
+references, are aggregated map-side and share one shuffle. All results are rows of one
+DataFrame.
 """
 
 from __future__ import annotations
@@ -24,19 +25,26 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _outcome(failing: Column, details: Column | None = None) -> list[Column]:
+    """The last columns of a check row."""
+    count = F.coalesce(failing, F.lit(0)).cast("bigint")
+    return [
+        (count == 0).alias("passed"),
+        count.alias("failing_rows"),
+        (F.lit("") if details is None else details).alias("details"),
+    ]
+
+
 def _result(
-    check_id: str, category: str, table: str, description: str, failing: Column, details=None
+    check_id: str, category: str, table: str, description: str, failing: Column
 ) -> list[Column]:
     """Columns of a check row."""
-    count = F.coalesce(failing, F.lit(0)).cast("bigint")
     return [
         F.lit(check_id).alias("check_id"),
         F.lit(category).alias("category"),
         F.lit(table).alias("table_name"),
         F.lit(description).alias("description"),
-        (count == 0).alias("passed"),
-        count.alias("failing_rows"),
-        (F.lit("") if details is None else details).alias("details"),
+        *_outcome(failing),
     ]
 
 
@@ -120,73 +128,130 @@ class Checks:
 
     # keys
 
-    def duplicates(self) -> DataFrame:
-        """Rows beyond the number of distinct non-NULL keys; NULL keys count as duplicates."""
-        return _union(
-            [
-                self._repeated(name, column)
-                for name, columns in specs.UNIQUE.items()
-                for column in columns.split()
-            ]
+    def _check_rows(self, checks: list[tuple[int, str, str, str]], category: str) -> DataFrame:
+        """Check numbers with what is reported about them; a few constant rows."""
+        rows = ", ".join(
+            f"({number}, '{check_id}', '{name}', '{text}')"
+            for number, check_id, name, text in checks
+        )
+        return self.spark.sql(
+            f"SELECT *, '{category}' AS category FROM VALUES {rows}"
+            " AS t(check_no, check_id, table_name, description)"
         )
 
-    def _repeated(self, name: str, column: str) -> DataFrame:
-        # Copies of a key meet map-side, so a hot key costs one row per task.
-        per_key = self.table(name).groupBy(F.col(column).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_rows")
+    def duplicates(self) -> DataFrame:
+        """Rows beyond the number of distinct non-NULL keys; NULL keys count as duplicates.
+
+        The keys of all checks share one shuffle. Copies of a key meet map-side, so a hot
+        key costs one row per task.
+        """
+        checks, parts = [], []
+        for name, columns in specs.UNIQUE.items():
+            table = self.table(name)
+            keys = []
+            for column in columns.split():
+                number = len(checks)
+                text = isinstance(table.schema[column].dataType, T.StringType)
+                checks.append((number, f"dup_{name}.{column}", name, f"{column} is unique"))
+                keys.append(
+                    F.struct(
+                        F.lit(number).alias("check_no"),
+                        (F.lit(None) if text else F.col(column)).cast("bigint").alias("number"),
+                        (F.col(column) if text else F.lit(None)).cast("string").alias("text"),
+                    )
+                )
+            parts.append(table.select(F.inline(F.array(*keys))))
+        per_key = (
+            _union(parts).groupBy("check_no", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+        )
+        counts = per_key.groupBy("check_no").agg(
+            F.sum("n").alias("_total"),
+            F.count_if(F.col("number").isNotNull() | F.col("text").isNotNull()).alias("_distinct"),
         )
-        counts = per_key.agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("_total"), F.count("_key").alias("_distinct")
+        # One row per check.
+        counted = self._check_rows(checks, "duplicate").join(
+            F.broadcast(counts), "check_no", "left"
         )
-        extra = F.col("_total") - F.col("_distinct")
+        extra = F.coalesce(F.col("_total") - F.col("_distinct"), F.lit(0))
         details = F.when(
             extra > 0, F.format_string("%d total, %d distinct", "_total", "_distinct")
         ).otherwise("")
-        return counts.select(
-            *_result(
-                f"dup_{name}.{column}", "duplicate", name, f"{column} is unique", extra, details
-            )
+        return counted.select(
+            "check_id", "category", "table_name", "description", *_outcome(extra, details)
         )
 
     def references(self) -> DataFrame:
-        parts = []
+        """Child rows whose key the parent lacks; NULL child keys are skipped.
+
+        Child keys are counted map-side first, then all references are compared in one anti
+        join on (parent, key).
+        """
+        checks, parents, children = [], {}, []
         for child, links in specs.REFERENCES.items():
+            keys = []
             for link in links.split():
                 column, target = link.split(">")
-                parent, parent_column = target.rsplit(".", 1)
-                parts.append(
-                    self._orphans(child, column, parent, parent_column).select(
-                        *_result(
-                            f"fk_{child}.{column}__{target}",
-                            "referential",
-                            child,
-                            f"{column} → {target}",
-                            F.col("failing"),
-                        )
+                parent = parents.setdefault(target, len(parents))
+                keys.append(
+                    F.struct(
+                        F.lit(len(checks)).alias("check_no"),
+                        F.lit(parent).alias("parent_no"),
+                        F.col(column).cast("bigint").alias("key"),
                     )
                 )
-        return _union(parts)
-
-    def _orphans(self, child: str, column: str, parent: str, parent_column: str) -> DataFrame:
-        """One row: child rows whose key the parent lacks. NULL child keys are skipped."""
-        per_key = (
-            self.table(child)
-            .where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_key"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
+                checks.append(
+                    (len(checks), f"fk_{child}.{column}__{target}", child, f"{column} → {target}")
+                )
+            children.append(self.table(child).select(F.inline(F.array(*keys))))
+        parent_of = self.spark.sql(
+            "SELECT * FROM VALUES "
+            + ", ".join(
+                f"({number}, {parents[check_id.split('__')[1]]})"
+                for number, check_id, _, _ in checks
+            )
+            + " AS t(check_no, parent_no)"
+        )
+        parent_keys = _union(
+            [
+                self.table(target.rsplit(".", 1)[0]).select(
+                    F.lit(number).alias("parent_no"),
+                    F.col(target.rsplit(".", 1)[1]).cast("bigint").alias("key"),
+                )
+                for target, number in parents.items()
+            ]
+        )
+        lost = (
+            _union(children)
+            .where(F.col("key").isNotNull())
+            .groupBy("check_no", "parent_no", "key")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .join(parent_keys, ["parent_no", "key"], "left_anti")
+            .groupBy("check_no")
+            .agg(F.sum("n").alias("_lost"))
+        )
+        failing = F.coalesce("_lost", F.lit(0))
+        # One row per check, and one per parent.
+        result = self._check_rows(checks, "referential").join(F.broadcast(lost), "check_no", "left")
+        if self.null_parent_passes:
+            nulls = parent_keys.where(F.col("key").isNull()).groupBy("parent_no").agg(
+                F.count(F.lit(1)).alias("_nulls")
+            )
+            result = result.join(F.broadcast(parent_of), "check_no").join(
+                F.broadcast(nulls), "parent_no", "left"
+            )
+            failing = F.when(F.col("_nulls").isNotNull(), F.lit(0)).otherwise(failing)
+        return result.select(
+            "check_id", "category", "table_name", "description", *_outcome(failing)
         )
-        keys = self.table(parent).select(F.col(parent_column).alias("_key"))
-        lost = per_key.join(keys, "_key", "left_anti")
-        return self._unless_null_parent(lost.agg(F.sum("_rows").alias("n")), keys)
 
     def _unless_null_parent(self, lost: DataFrame, keys: DataFrame) -> DataFrame:
+        """One row: ``lost.n``, or 0 when a NULL key lets everything pass."""
         if not self.null_parent_passes:
             return lost.select(F.col("n").alias("failing"))
         nulls = keys.where(F.col("_key").isNull()).agg(F.count(F.lit(1)).alias("n"))
         both = lost.select(F.lit(True).alias("_lost"), "n").unionByName(
             nulls.select(F.lit(False).alias("_lost"), "n")
         )
-        # Two rows: lost children, and NULL parent keys.
         failing = F.when(
             F.max(F.when(~F.col("_lost"), F.col("n"))) > 0, F.lit(0)
         ).otherwise(F.max(F.when(F.col("_lost"), F.col("n"))))
