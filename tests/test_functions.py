@@ -1,0 +1,66 @@
+from datetime import datetime
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from cartwright.functions import (
+    clean_text,
+    date_key,
+    lower_text,
+    money,
+    phone_text,
+    ratio,
+    round_half_away,
+    to_usd,
+    utc_datetime,
+)
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+def test_trim_removes_every_kind_of_space_but_no_tabs(spark):
+    text = F.lit("   \tA b　 ")
+    assert one(spark, clean_text(text), lower_text(text)) == ("\tA b", "\ta b")
+
+
+def test_phone(spark):
+    def phone(text, digits=False):
+        return one(spark, phone_text(F.lit(text), digits))[0]
+
+    assert phone("+12025550101") == "+12025550101"
+    assert phone("12025550101.0") == "12025550101"
+    assert phone("12X0") == "12X0"
+    assert phone("  ") is None
+    assert phone("+12025550101", digits=True) == "12025550101"
+
+
+def test_money_rounds_half_up_and_unknown_rate_counts_as_one(spark):
+    amount = F.lit(D("2626.88"))
+    rate = F.lit(D("0.0178")).cast("decimal(5,4)")
+    none = F.lit(None).cast("decimal(5,4)")
+    assert one(spark, to_usd(amount, rate), to_usd(amount, none)) == (D("46.76"), D("2626.88"))
+    df = spark.range(1).select(to_usd(money(amount), rate).alias("usd"))
+    assert df.schema["usd"].dataType.simpleString() == "decimal(18,2)"
+
+
+def test_rounding_is_binary(spark):
+    assert one(spark, round_half_away(F.lit(1.005), 2), round_half_away(F.lit(-2.5), 0)) == (1.0, -3.0)
+
+
+def test_ratio_is_null_for_a_zero_divisor(spark):
+    assert one(spark, ratio(F.lit(1), F.lit(0)), ratio(F.lit(1), F.lit(3), 4)) == (None, 0.3333)
+
+
+def test_utc_datetime_ignores_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.sql("SELECT timestamp '2026-03-10 23:30:00Z' AS t, timestamp_ntz '2026-03-10 23:30:00' AS n")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Manila")
+        row = df.select(
+            utc_datetime(df, "t").alias("a"), utc_datetime(df, "n").alias("b")
+        ).select("a", "b", date_key(F.col("a").cast("date"))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (datetime(2026, 3, 10, 23, 30), datetime(2026, 3, 10, 23, 30), 20260310)

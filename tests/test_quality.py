@@ -1,0 +1,144 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartwright.quality import Checks, append_report, latest_failures, specs, summary
+from cartwright.quality.report import ChecksFailed
+
+NAMES = sorted(
+    {*specs.REQUIRED, *specs.SCHEMAS, *specs.UNIQUE, "silver.seed_exchange_rates"}
+)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, warehouse, tmp_path_factory):
+    """Stored copies of the checked tables of the sample day."""
+    root = tmp_path_factory.mktemp("checked")
+    stored = {}
+    for name in NAMES:
+        path = str(root / name)
+        warehouse.table(name.split(".")[1]).write.parquet(path)
+        stored[name] = spark.read.parquet(path)
+    return stored
+
+
+def failed(results):
+    return {r.check_id: r.failing_rows for r in results.collect() if not r.passed}
+
+
+def test_sample_day_passes_all_113_checks(spark, tables, tmp_path):
+    report = append_report(
+        Checks(spark, tables.get).all(), str(tmp_path), "r1", datetime(2026, 3, 11), must_pass=True
+    )
+    assert failed(report) == {}
+    per_family = {r.category: r.total for r in summary(report, "category").collect()}
+    assert per_family == {
+        "null": 62,
+        "schema": 9,
+        "duplicate": 16,
+        "referential": 13,
+        "currency": 3,
+        "arithmetic": 10,
+    }
+    history = spark.read.option("header", True).csv(f"{tmp_path}/history").collect()
+    assert [(r.run_id, r.total, r.passed, r.failed) for r in history] == [("r1", "113", "113", "0")]
+
+
+def set_where(df, condition, **values):
+    for column, value in values.items():
+        kind = df.schema[column].dataType
+        changed = F.when(F.expr(condition), F.lit(value).cast(kind)).otherwise(F.col(column))
+        df = df.withColumn(column, changed)
+    return df
+
+
+def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
+    bad = dict(tables)
+    orders = tables["gold.fact_orders"]
+    # Total off by 2 cents fails, by 1 cent passes.
+    orders = set_where(orders, "order_sk = 1", subtotal_amount="140.01")
+    orders = set_where(orders, "order_sk = 5", subtotal_amount="50.00")
+    orders = set_where(orders, "order_sk = 2", currency="EUR")
+    orders = set_where(orders, "order_sk = 3", customer_sk=None)
+    orders = set_where(orders, "order_sk = 4", order_id=None, order_date_key=19990101)
+    bad["gold.fact_orders"] = orders
+    items = set_where(
+        tables["gold.fact_order_items"],
+        "order_item_sk = 1",
+        unit_price="-1.00",
+        gross_profit="0.00",
+        product_sk=99,
+    )
+    bad["gold.fact_order_items"] = items
+    payments = tables["gold.fact_payments"]
+    payments = set_where(payments, "transaction_type = 'void'", net_amount="5.00")
+    payments = set_where(payments, "payment_sk = 1", net_amount="1.00")
+    bad["gold.fact_payments"] = payments
+    bad["gold.fact_purchase_orders"] = set_where(
+        tables["gold.fact_purchase_orders"], "po_sk = 2", po_id=700001, po_total="1.00"
+    )
+    bad["gold.fact_inventory_daily"] = set_where(
+        tables["gold.fact_inventory_daily"], "inventory_sk = 1", inventory_value="-1.00"
+    )
+    bad["gold.fact_campaign_performance"] = tables["gold.fact_campaign_performance"].withColumn(
+        "impressions", F.col("impressions").cast("bigint")
+    )
+    bad["gold.fact_email_engagement"] = tables["gold.fact_email_engagement"].limit(0)
+    bad["silver.stg_customers"] = set_where(
+        tables["silver.stg_customers"], "customer_id = 77102", email=None
+    )
+    results = Checks(spark, bad.get).all()
+    report = append_report(results, str(tmp_path), "r2")
+    assert failed(report.where("category <> 'schema'")) == {
+        "arith_order_total": 1,
+        "currency_known_rate": 1,
+        "currency_order_payment_match": 1,
+        "null_gold.fact_orders.customer_sk": 1,
+        "null_gold.fact_orders.order_id": 1,
+        "dup_gold.fact_orders.order_id": 1,
+        "fk_gold.fact_orders.order_date_key__gold.dim_date.date_key": 1,
+        "fk_gold.fact_order_items.product_sk__gold.dim_products.product_sk": 1,
+        "arith_line_total": 1,
+        "arith_gross_profit": 1,
+        "arith_nonneg_gold.fact_order_items.unit_price": 1,
+        "arith_payment_net": 1,
+        "dup_gold.fact_purchase_orders.po_id": 1,
+        "arith_po_total": 1,
+        "arith_nonneg_gold.fact_inventory_daily.inventory_value": 1,
+        "null_silver.stg_customers.email": 1,
+    }
+    wrong = report.where("category = 'schema' AND NOT passed").collect()
+    assert [r.check_id for r in wrong] == ["schema_gold.fact_campaign_performance"]
+    assert wrong[0].details == "type mismatches: ['impressions: expected INTEGER, got BIGINT']"
+    assert wrong[0].failing_rows == 0
+    details = {r.check_id: r.details for r in report.where("category = 'duplicate'").collect()}
+    assert details["dup_gold.fact_orders.order_id"] == "5 total, 4 distinct"
+    with pytest.raises(ChecksFailed):
+        append_report(results.where("NOT passed"), str(tmp_path), "r3", must_pass=True)
+    # A later report decides what is reported as failing.
+    reports = spark.read.json(f"{tmp_path}/checks")
+    assert {r.run_id for r in latest_failures(reports).collect()} == {"r3"}
+    assert len(json.loads(reports.toJSON().first())) == 8
+
+
+def test_missing_column_is_named(spark, tables):
+    bad = {**tables, "gold.dim_products": tables["gold.dim_products"].drop("sku")}
+    wrong = Checks(spark, bad.get).schemas().where("NOT passed").collect()
+    assert [r.details for r in wrong] == ["missing columns: ['sku']"]
+
+
+def test_a_null_parent_key_lets_every_child_pass(spark, tables):
+    products = tables["gold.dim_products"]
+    bad = {
+        **tables,
+        "gold.dim_products": set_where(products, "product_sk = 1", product_sk=None),
+    }
+    assert failed(Checks(spark, bad.get).references()) == {}
+    strict = failed(Checks(spark, bad.get, null_parent_passes=False).references())
+    assert set(strict) == {
+        "fk_gold.fact_order_items.product_sk__gold.dim_products.product_sk",
+        "fk_gold.fact_inventory_daily.product_sk__gold.dim_products.product_sk",
+        "fk_gold.fact_purchase_orders.product_sk__gold.dim_products.product_sk",
+    }
