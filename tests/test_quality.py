@@ -77,7 +77,7 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     payments = set_where(payments, "payment_sk = 1", net_amount="1.00")
     bad["gold.fact_payments"] = payments
     bad["gold.fact_purchase_orders"] = set_where(
-        tables["gold.fact_purchase_orders"], "po_sk = 2", po_id=700001, po_total="1.00"
+        tables["gold.fact_purchase_orders"], "po_sk = 2", po_id=21, po_total="1.00"
     )
     bad["gold.fact_inventory_daily"] = set_where(
         tables["gold.fact_inventory_daily"], "inventory_sk = 1", inventory_value="-1.00"
@@ -87,7 +87,7 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     )
     bad["gold.fact_email_engagement"] = tables["gold.fact_email_engagement"].limit(0)
     bad["silver.stg_customers"] = set_where(
-        tables["silver.stg_customers"], "customer_id = 77102", email=None
+        tables["silver.stg_customers"], "customer_id = 101", email=None
     )
     results = Checks(spark, bad.get).all()
     report = append_report(results, str(tmp_path), "r2")

@@ -34,11 +34,11 @@ def test_row_counts(spark, warehouse):
 
 def test_order_values(warehouse):
     assert rows(warehouse.fact_orders, "order_id", "order_sk", "total_amount_usd") == [
-        (4500192, 1, D("149.99")),
-        (4500193, 2, D("92.79")),
-        (4500194, 3, D("46.76")),
-        (4500195, 4, D("58.29")),
-        (4500196, 5, D("58.29")),
+        (11, 1, D("149.99")),
+        (12, 2, D("92.79")),
+        (13, 3, D("46.76")),
+        (14, 4, D("58.29")),
+        (15, 5, D("58.29")),
     ]
     assert warehouse.fact_orders.where("has_total_mismatch").count() == 0
     assert warehouse.fact_order_items.where("has_line_total_mismatch").count() == 0
@@ -46,25 +46,25 @@ def test_order_values(warehouse):
 
 def test_customers(warehouse):
     assert rows(warehouse.dim_customers, "customer_sk", "customer_id", "canonical_customer_id") == [
-        (1, 77102, 77102),
-        (2, 88201, 88201),
-        (3, 88202, 88201),
-        (4, 92811, 92811),
+        (1, 101, 101),
+        (2, 202, 202),
+        (3, 203, 202),
+        (4, 304, 304),
     ]
     assert rows(warehouse.stg_customers, "customer_id", "is_duplicate_email") == [
-        (77102, False),
-        (88201, True),
-        (88202, True),
-        (92811, False),
+        (101, False),
+        (202, True),
+        (203, True),
+        (304, False),
     ]
 
 
 def test_products(warehouse):
     assert rows(warehouse.dim_products, "sku", "category_standardized", "gross_margin_pct") == [
-        ("SKU-BAG-URB", "Bags", 55.98),
-        ("SKU-MUG-WHT", "Homewares", 76.0),
-        ("SKU-RED-42", "Footwear", 48.21),
-        ("SKU-TEE-BLK", "Apparel", 77.5),
+        ("CUP-1", "Homewares", 76.0),
+        ("PACK-1", "Bags", 55.98),
+        ("SHIRT-1", "Apparel", 77.5),
+        ("SHOE-1", "Footwear", 48.21),
     ]
 
 
@@ -81,9 +81,9 @@ def test_lifetime_value(warehouse):
         "days_since_last_order",
         "estimated_clv_90d",
     ) == [
-        (77102, 1, 1, D("46.76"), 46.76, D("250.00"), 0, 5, 4208.40),
-        (88201, 2, 2, D("116.58"), 58.29, D("0.00"), 0, 5, 10492.20),
-        (92811, 2, 1, D("149.99"), 149.99, D("10.00"), 0, 5, 13499.10),
+        (101, 1, 1, D("46.76"), 46.76, D("250.00"), 0, 5, 4208.40),
+        (202, 2, 2, D("116.58"), 58.29, D("0.00"), 0, 5, 10492.20),
+        (304, 2, 1, D("149.99"), 149.99, D("10.00"), 0, 5, 13499.10),
     ]
 
 
@@ -96,11 +96,11 @@ def test_conversion(warehouse):
 
 def test_campaigns(warehouse):
     result = warehouse.metric_revenue_by_campaign
-    reached = result.where("campaign_id = 'EM-NEWS-0310'").first()
+    reached = result.where("campaign_id = 'MAIL-1'").first()
     assert (reached.total_sends, reached.delivered, reached.opened, reached.clicked) == (3, 2, 2, 1)
     assert (reached.attributed_orders, reached.attributed_revenue_usd) == (4, D("313.33"))
     assert reached.attributed_roas is None and reached.total_spend is None
-    paid = result.where("campaign_id <> 'EM-NEWS-0310'").collect()
+    paid = result.where("campaign_id <> 'MAIL-1'").collect()
     assert len(paid) == 3
     for r in paid:
         assert (r.attributed_orders, r.attributed_revenue_usd) == (0, D("0.00"))
@@ -109,9 +109,9 @@ def test_campaigns(warehouse):
 
 def test_campaign_ratios(warehouse):
     assert rows(warehouse.fact_campaign_performance, "campaign_id", "ctr", "cpc", "cpa", "roas") == [
-        ("GG-SEM-22", 0.1156, 0.40, 14.59, 6.29),
-        ("META-001", 0.0342, 0.45, 20.34, 4.56),
-        ("TT-778", 0.0306, 0.33, 19.22, 4.88),
+        ("PAID-A", 0.0342, 0.45, 20.34, 4.56),
+        ("PAID-B", 0.1156, 0.40, 14.59, 6.29),
+        ("PAID-C", 0.0306, 0.33, 19.22, 4.88),
     ]
 
 
@@ -130,17 +130,17 @@ def test_turnover(warehouse):
         "incoming_supply_qty",
         "open_po_count",
     ) == [
-        (12001, 1, D("129.99"), D("57.49"), 48, D("3480.00"), 0.0208, 48.0, False, 0, 0),
-        (15091, 2, D("99.98"), D("75.98"), 210, D("2520.00"), 0.0095, 105.0, False, 300, 1),
-        (21011, 1, D("2249.00"), D("1149.00"), 9, D("9900.00"), 0.1111, 9.0, True, 20, 1),
+        (7, 1, D("129.99"), D("57.49"), 48, D("3480.00"), 0.0208, 48.0, False, 0, 0),
+        (9, 2, D("99.98"), D("75.98"), 210, D("2520.00"), 0.0095, 105.0, False, 300, 1),
+        (10, 1, D("2249.00"), D("1149.00"), 9, D("9900.00"), 0.1111, 9.0, True, 20, 1),
     ]
 
 
 def test_overdue(warehouse):
     assert rows(warehouse.fact_purchase_orders, "po_id", "is_overdue", "fill_rate") == [
-        (700001, False, 1.0),
-        (700002, True, 0.5),
-        (700003, False, 0.0),
+        (21, False, 1.0),
+        (22, True, 0.5),
+        (23, False, 0.0),
     ]
 
 
