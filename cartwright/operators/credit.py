@@ -39,11 +39,7 @@ def window_credit(
         .select(
             F.col(campaign).alias("campaign"),
             F.col(person).alias("person"),
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(days)), lambda i: F.date_add(F.col(touch_day), i)
-                )
-            ).alias("day"),
+            F.explode(F.sequence(F.col(touch_day), F.date_add(F.col(touch_day), days))).alias("day"),
         )
         .groupBy("campaign", "person", "day")
         .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("weight"))

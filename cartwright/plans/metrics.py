@@ -139,7 +139,7 @@ def order_conversion_rate(
         ratio(F.col("paid_orders"), total, 4).alias("payment_conversion_rate"),
         ratio(F.col("cancelled_orders"), total, 4).alias("cancellation_rate"),
         stamp(computed_at).alias("_computed_at"),
-    ).orderBy("order_date")
+    ).orderBy(F.col("order_date").asc_nulls_last())
 
 
 def attributed_revenue(

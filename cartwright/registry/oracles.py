@@ -441,7 +441,7 @@ _add(
         (SELECT count(*) FROM stg_orders WHERE currency = code) AS orders FROM fx""",
 )
 _add(
-    "table_statistics",
+    "table_stats",
     "SELECT layer, table_name, sum(n)::BIGINT AS row_count FROM ("
     + _union(
         f"SELECT 'silver' AS layer, 'stg_{e.table}' AS table_name, count(*) AS n FROM stg_{e.table}"
@@ -451,7 +451,7 @@ _add(
 )
 _BUILT = ("dim_date", "dim_customers", "dim_products", "fact_orders")
 _add(
-    "missing_gold_tables",
+    "missing_tables",
     "SELECT name AS table_name FROM (VALUES "
     + ", ".join(f"('{n}')" for n in GOLD)
     + ") w(name) WHERE name NOT IN (SELECT t FROM ("
@@ -633,7 +633,7 @@ _add(
     FROM b_check_reports GROUP BY run_id""",
 )
 _add(
-    "latest_report_failures",
+    "latest_failures",
     """SELECT * FROM b_check_reports WHERE NOT passed
         AND run_id = (SELECT max(run_id) FROM b_check_reports)""",
 )

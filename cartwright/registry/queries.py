@@ -25,11 +25,16 @@ QUERIES: dict[str, Query] = {}
 AUDIT = ("_loaded_at", "_computed_at")
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+def query(function: Query, name: str | None = None) -> Query:
+    QUERIES[name or function.__name__] = function
     return function
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register a query whose name is taken by what it calls."""
+    return lambda function: query(function, name)
+
+
 def _model(query_name: str, table: str) -> None:
     """Register a warehouse table without its audit column."""
 
@@ -38,8 +43,7 @@ def _model(query_name: str, table: str) -> None:
         shop_.prepare(table)
         return shop_.table(table).drop(*AUDIT)
 
-    run.__name__ = query_name
-    query(run)
+    query(run, query_name)
 
 
 MODELS = {
@@ -186,12 +190,12 @@ def _silver(shop_) -> dict[str, DataFrame]:
     return {f"stg_{e.table}": shop_.table(f"stg_{e.table}") for e in ENTITIES}
 
 
-@query
+@named("table_stats")
 def table_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return table_stats({"silver": _silver(shop(spark, folder))})
 
 
-@query
+@named("missing_tables")
 def missing_gold_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Gold tables that are absent when only dimensions and orders were built, or are empty."""
     shop_ = shop(spark, folder)
@@ -339,6 +343,6 @@ def dq_trend(spark: SparkSession, folder: str) -> DataFrame:
     return history.dq_trend(reports)
 
 
-@query
+@named("latest_failures")
 def latest_report_failures(spark: SparkSession, folder: str) -> DataFrame:
     return latest_failures(role(spark, folder, "check_reports"))

@@ -4,6 +4,7 @@ from contextlib import contextmanager
 from datetime import date, timedelta
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from cartwright.operators import (
@@ -80,6 +81,17 @@ def test_dense_key_result_is_a_plain_scan(spark):
     assert "ReadSchema: struct<twice:bigint>" in text
 
 
+def test_scratch_space_is_the_folder_the_session_names(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    scratch = Scratch(spark)
+    assert scratch.path.startswith(root)
+    staged = scratch.stage(spark.range(3), "t")
+    assert staged.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(root.lstrip("/"))
+    scratch.release()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(scratch.path).count()
+
+
 # groups
 
 
