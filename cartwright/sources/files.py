@@ -37,8 +37,9 @@ def _typed(value: Column, data_type: T.DataType) -> Column:
         return value
     if isinstance(data_type, T.LongType):
         # Whole numbers written as decimals round half to even.
-        return F.coalesce(
-            value.try_cast("long"), F.rint(value.cast("double")).cast("long")
+        whole = value.rlike(r"^[+-]?\d+$")
+        return F.when(whole, value.cast("long")).otherwise(
+            F.rint(value.cast("double")).cast("long")
         )
     if isinstance(data_type, T.TimestampType):
         # A text without a zone is taken as UTC, whatever the session zone is.

@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Patterns instead of casts: a failed cast costs an exception per value.
+_SHORT_INT = r"^\s*[+-]?\d{1,18}\s*$"
+_LONG_INT = r"^\s*[+-]?\d{19,}\s*$"
+_DOUBLE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
+
+
 def _tests(value: Column) -> dict[str, Column]:
+    long_int = value.rlike(_LONG_INT) & value.try_cast("bigint").isNotNull()
     return {
         "non_null": value.isNotNull(),
-        "int_like": value.try_cast("bigint").isNotNull(),
-        "double_like": value.try_cast("double").isNotNull(),
+        "int_like": value.rlike(_SHORT_INT) | long_int,
+        "double_like": value.rlike(_DOUBLE),
         "bool_like": F.lower(value).isin("true", "false"),
         "date_like": value.rlike(r"^\d{4}-\d{2}-\d{2}")
         & F.substring(value, 1, 10).try_cast("date").isNotNull(),
