@@ -18,6 +18,7 @@ from cartwright.quality import specs
 
 RESULT = """check_id string, category string, table_name string, description string,
     passed boolean, failing_rows bigint, details string"""
+ABOUT = ("check_id", "category", "table_name", "description")
 CheckResults = DataFrame
 
 
@@ -79,18 +80,34 @@ class Checks:
     # one row at a time
 
     def row_checks(self, rules: list[specs.RowRule]) -> DataFrame:
-        by_table: dict[str, list[specs.RowRule]] = {}
-        for rule in rules:
-            by_table.setdefault(rule.table, []).append(rule)
-        return _union([self._count_failing(name, some) for name, some in by_table.items()])
-
-    def _count_failing(self, name: str, rules: list[specs.RowRule]) -> DataFrame:
-        counts = [F.count_if(F.expr(r.fails)).alias(f"_{i}") for i, r in enumerate(rules)]
-        checks = [
-            F.struct(*_result(r.check_id, r.category, name, r.description, F.col(f"_{i}")))
-            for i, r in enumerate(rules)
-        ]
-        return self.table(name).agg(*counts).select(F.inline(F.array(*checks)))
+        by_table: dict[str, list[int]] = {}
+        for number, rule in enumerate(rules):
+            by_table.setdefault(rule.table, []).append(number)
+        counts = _union(
+            [self._count_failing(name, rules, some) for name, some in by_table.items()]
+        )
+        checks = [(i, r.check_id, r.category, r.table, r.description) for i, r in enumerate(rules)]
+        # One row per check.
+        counted = self._check_rows(checks).join(F.broadcast(counts), "check_no")
+        return counted.select(*ABOUT, *_outcome(F.col("n")))
+
+    def _count_failing(self, name: str, rules: list[specs.RowRule], some: list[int]) -> DataFrame:
+        """Failing rows per rule number, for the rules of one table, in one scan."""
+        counts = ", ".join(
+            f"named_struct('check_no', {i}, 'n', count_if({rules[i].fails}))" for i in some
+        )
+        return self.table(name).agg(F.expr(f"array({counts})").alias("c")).select(F.inline("c"))
+
+    def _check_rows(self, checks: list[tuple[int, str, str, str, str]]) -> DataFrame:
+        """Check numbers with what is reported about them; a few constant rows."""
+        rows = ", ".join(
+            f"({number}, '{check_id}', '{category}', '{name}', '{text}')"
+            for number, check_id, category, name, text in checks
+        )
+        return self.spark.sql(
+            f"SELECT * FROM VALUES {rows}"
+            " AS t(check_no, check_id, category, table_name, description)"
+        )
 
     def nulls(self) -> DataFrame:
         return self.row_checks([r for r in specs.row_rules() if r.category == "null"])
@@ -128,17 +145,6 @@ class Checks:
 
     # keys
 
-    def _check_rows(self, checks: list[tuple[int, str, str, str]], category: str) -> DataFrame:
-        """Check numbers with what is reported about them; a few constant rows."""
-        rows = ", ".join(
-            f"({number}, '{check_id}', '{name}', '{text}')"
-            for number, check_id, name, text in checks
-        )
-        return self.spark.sql(
-            f"SELECT *, '{category}' AS category FROM VALUES {rows}"
-            " AS t(check_no, check_id, table_name, description)"
-        )
-
     def duplicates(self) -> DataFrame:
         """Rows beyond the number of distinct non-NULL keys; NULL keys count as duplicates.
 
@@ -152,7 +158,8 @@ class Checks:
             for column in columns.split():
                 number = len(checks)
                 text = isinstance(table.schema[column].dataType, T.StringType)
-                checks.append((number, f"dup_{name}.{column}", name, f"{column} is unique"))
+                about = (f"dup_{name}.{column}", "duplicate", name, f"{column} is unique")
+                checks.append((number, *about))
                 keys.append(
                     F.struct(
                         F.lit(number).alias("check_no"),
@@ -169,16 +176,12 @@ class Checks:
             F.count_if(F.col("number").isNotNull() | F.col("text").isNotNull()).alias("_distinct"),
         )
         # One row per check.
-        counted = self._check_rows(checks, "duplicate").join(
-            F.broadcast(counts), "check_no", "left"
-        )
+        counted = self._check_rows(checks).join(F.broadcast(counts), "check_no", "left")
         extra = F.coalesce(F.col("_total") - F.col("_distinct"), F.lit(0))
         details = F.when(
             extra > 0, F.format_string("%d total, %d distinct", "_total", "_distinct")
         ).otherwise("")
-        return counted.select(
-            "check_id", "category", "table_name", "description", *_outcome(extra, details)
-        )
+        return counted.select(*ABOUT, *_outcome(extra, details))
 
     def references(self) -> DataFrame:
         """Child rows whose key the parent lacks; NULL child keys are skipped.
@@ -199,15 +202,14 @@ class Checks:
                         F.col(column).cast("bigint").alias("key"),
                     )
                 )
-                checks.append(
-                    (len(checks), f"fk_{child}.{column}__{target}", child, f"{column} → {target}")
-                )
+                about = (f"fk_{child}.{column}__{target}", "referential", child)
+                checks.append((len(checks), *about, f"{column} → {target}"))
             children.append(self.table(child).select(F.inline(F.array(*keys))))
         parent_of = self.spark.sql(
             "SELECT * FROM VALUES "
             + ", ".join(
                 f"({number}, {parents[check_id.split('__')[1]]})"
-                for number, check_id, _, _ in checks
+                for number, check_id, *_ in checks
             )
             + " AS t(check_no, parent_no)"
         )
@@ -231,7 +233,7 @@ class Checks:
         )
         failing = F.coalesce("_lost", F.lit(0))
         # One row per check, and one per parent.
-        result = self._check_rows(checks, "referential").join(F.broadcast(lost), "check_no", "left")
+        result = self._check_rows(checks).join(F.broadcast(lost), "check_no", "left")
         if self.null_parent_passes:
             nulls = parent_keys.where(F.col("key").isNull()).groupBy("parent_no").agg(
                 F.count(F.lit(1)).alias("_nulls")
@@ -240,9 +242,7 @@ class Checks:
                 F.broadcast(nulls), "parent_no", "left"
             )
             failing = F.when(F.col("_nulls").isNotNull(), F.lit(0)).otherwise(failing)
-        return result.select(
-            "check_id", "category", "table_name", "description", *_outcome(failing)
-        )
+        return result.select(*ABOUT, *_outcome(failing))
 
     def _unless_null_parent(self, lost: DataFrame, keys: DataFrame) -> DataFrame:
         """One row: ``lost.n``, or 0 when a NULL key lets everything pass."""
