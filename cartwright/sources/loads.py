@@ -121,3 +121,20 @@ def entity_fingerprint(texts: DataFrame, key: str) -> DataFrame:
         profile.column_profile(cleaned), list(entity.parsed_dates), quoted
     )
     return profile.fingerprint(typed_profile)
+
+
+def append_log(log: DataFrame, folder: str) -> None:
+    """Keep the load log; it also is the registry of the fingerprints seen so far."""
+    log.write.mode("append").parquet(f"{folder}/ingestion_log")
+
+
+def log_drift(log: DataFrame) -> DataFrame:
+    """Successful loads whose fingerprint is compared with the entity's previous load."""
+    loaded = log.where(F.col("status") == "success").select(
+        F.concat_ws("/", "source", "entity").alias("entity"),
+        "run_id",
+        "completed_at",
+        "schema_hash",
+        "schema_columns",
+    )
+    return profile.drift(loaded, dt="completed_at")

@@ -145,7 +145,8 @@ def test_latest_snapshot(spark, make):
         for d in (9, 10)
         for p in (1, 2)
     ]
-    newest = silver.latest_snapshot(silver.stg_inventory_snapshot(make(inventory_snapshot=rows)["inventory_snapshot"]))
+    bronze = make(inventory_snapshot=rows)["inventory_snapshot"]
+    newest = silver.latest_snapshot(silver.stg_inventory_snapshot(bronze))
     assert sorted((r.product_id, r.on_hand_qty) for r in newest.collect()) == [(1, 10), (2, 10)]
 
 

@@ -52,7 +52,10 @@ def test_times_with_and_without_zone(spark, tmp_path):
 
 
 def test_json_lines_equal_json_array(spark, tmp_path):
-    one = '{"transaction_id": "t1", "order_id": 5, "gross_amount": 1.50, "refund_flag": true, "card_brand": null}'
+    one = (
+        '{"transaction_id": "t1", "order_id": 5, "gross_amount": 1.50,'
+        ' "refund_flag": true, "card_brand": null}'
+    )
     lines = write(tmp_path / "a.jsonl", one + "\n")
     array = write(tmp_path / "b.json", "[" + one + "]")
     a = read_entity(spark, PAYMENTS, lines, json_lines=True).collect()
@@ -111,6 +114,19 @@ def test_fingerprints_of_the_sample_day(sample_day):
     assert hashes["customers"] == "c6b5d4b070c54cf6"
 
 
+def test_drift_between_loads(spark, sample_files, tmp_path):
+    header = ",".join(f.name for f in ITEMS.schema) + "\n"
+    blank = write(tmp_path / "items.csv", header + "1,11,,SHOE-1,Trail Shoe,1,1.00,0.00,1.00\n")
+    key = "postgres/order_items"
+    for run, path in (("r1", sample_files[key]), ("r2", sample_files[key]), ("r3", blank)):
+        loads.append_log(
+            loads.ingest(spark, {key: path}, str(tmp_path), "2026-03-10", run), str(tmp_path)
+        )
+    log = spark.read.parquet(f"{tmp_path}/ingestion_log")
+    drifted = {r.run_id: r.drifted for r in loads.log_drift(log).collect()}
+    assert drifted == {"r1": False, "r2": False, "r3": True}
+
+
 def dtypes(spark, values, **options):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     return profile.with_dtype(profile.column_profile(df), **options).first().dtype
