@@ -2,40 +2,55 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; one is chosen only where it is unset."""
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else
+    ``_scratch`` under the warehouse folder. All of them are shared by driver and executors;
+    a machine's own temporary folder is never used.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = current.get() if current.isDefined() else None
     if not root:
-        root = tempfile.mkdtemp(prefix="cartwright-")
-        spark.sparkContext.setCheckpointDir(root)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir")
+        root = f"{warehouse.rstrip('/')}/_scratch"
     return root
 
 
 class Scratch:
-    """Tables written under one fresh folder of the shared scratch space."""
+    """Tables written under one fresh folder of the shared scratch space.
+
+    The folder is removed by ``release``, and at the latest when the session's JVM ends.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/cartwright-{uuid.uuid4().hex}"
+        self._ends_with_session = False
+
+    def _folder(self):
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a scan of the copy: lineage ends here."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
+        if not self._ends_with_session:
+            system, folder = self._folder()
+            system.deleteOnExit(folder)
+            self._ends_with_session = True
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
         """Remove this object's own folder, once nothing reads its tables any more."""
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
+        system, folder = self._folder()
+        system.delete(folder, True)
