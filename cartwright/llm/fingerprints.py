@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.common import fresh, shuffle_partitions
 
-K, WINDOW = 4, 4
+K, WINDOW = 3, 4
 PRIME, BASE = (1 << 31) - 1, 1_000_003
 PIECE = r"[^\x20\x09-\x0D]{1,12}"
 _PLACES = 1 << 31

@@ -2,15 +2,16 @@
 
 A text is cut into blocks. Each block is compressed twice, with a zstandard dictionary built
 from good labelled text and with one built from bad labelled text. The difference of the two
-total sizes, divided by their sum, is the text's only feature; a logistic curve fitted on other
-labelled documents turns it into a probability.
+total sizes, divided by the text's size, is the text's only feature; a logistic curve fitted on
+other labelled documents turns it into a probability. A short text says little, so ``PRIOR_BYTES``
+bytes of the labelled documents' mean difference are added to every text.
 
 The model is fitted on a bounded sample of labelled rows: at most ``sample_docs`` documents of
 each label, half for the dictionaries (at most ``sample_blocks`` blocks of each label) and half
 for the curve. Scoring is one pass over the whole texts without a shuffle.
 
 Defined cases: labels that are null or not 0/1, or whose id no document has, are left out.
-A null text counts as empty, and an empty one gets the curve's value at zero difference. With no label,
+A null text counts as empty, and an empty one gets the curve's value at the mean difference. With no label,
 or labels of one kind only, every score is the (smoothed) share of good labels. Repeated rows are
 scored each; further columns stay.
 """
@@ -31,14 +32,16 @@ from pyspark.sql import functions as F
 from cartwright.llm.common import fresh, sample_per_class
 from cartwright.sources.scratch import Scratch
 
-BLOCK = 2048
+BLOCK = 512
 LEVEL = 3
+PRIOR_BYTES = 100
 
 
 @dataclass(frozen=True)
 class QualityModel:
     good: bytes | None
     bad: bytes | None
+    mean: float
     slope: float
     intercept: float
 
@@ -53,23 +56,19 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=known, level=LEVEL, write_content_size=False)
 
 
-def _difference(raw: bytes | None, good, bad) -> float:
-    """(bad - good) / (bad + good) over the sizes of all blocks; 0 for an empty text."""
-    by_good = by_bad = 0
-    for block in _blocks(raw or b""):
-        by_good += len(good.compress(block))
-        by_bad += len(bad.compress(block))
-    return (by_bad - by_good) / (by_bad + by_good) if by_good else 0.0
-
-
 def difference(text: Column, good: bytes, bad: bytes) -> Column:
-    """The normalised compressed-size difference of each whole text."""
+    """(gap, size) of each whole text: bytes that the bad dictionary needs more, and all bytes."""
 
-    @F.pandas_udf("double")
-    def measure(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        compressors = _compressor(good), _compressor(bad)
+    @F.pandas_udf("gap long, size long")
+    def measure(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        by_good, by_bad = _compressor(good), _compressor(bad)
         for part in parts:
-            yield pd.Series([_difference(raw, *compressors) for raw in part], dtype="float64")
+            rows = []
+            for raw in part:
+                raw = raw or b""
+                gap = sum(len(by_bad.compress(b)) - len(by_good.compress(b)) for b in _blocks(raw))
+                rows.append((gap, len(raw)))
+            yield pd.DataFrame(rows, columns=["gap", "size"])
 
     return measure(text.cast("binary"))
 
@@ -104,8 +103,8 @@ def fit(
     labels: DataFrame,
     label: str = "quality",
     sample_docs: int = 4000,
-    sample_blocks: int = 2500,
-    dictionary_bytes: int = 64 * 1024,
+    sample_blocks: int = 8000,
+    dictionary_bytes: int = 16 * 1024,
 ) -> QualityModel:
     """Fit on ``labels`` (doc_id, ``label``); the caller leaves out what must not be learned."""
     spark = documents.sparkSession
@@ -113,7 +112,7 @@ def fit(
     known = known.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     prior = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
-    flat = QualityModel(None, None, 0.0, math.log(prior / (1 - prior)))
+    flat = QualityModel(None, None, 0.0, 0.0, math.log(prior / (1 - prior)))
     if len(totals) < 2:
         return flat
     chosen = sample_per_class(known, "label", "doc_id", sample_docs, "quality")
@@ -135,14 +134,17 @@ def fit(
         ).as_bytes()
         for q in (1, 0)
     )
-    curve = sample.filter("for_curve").select(difference(F.col("text"), good, bad).alias("x"), "label").collect()
-    x, y = np.array([r["x"] for r in curve]), np.array([float(r["label"]) for r in curve])
+    measured = difference(F.col("text"), good, bad)
+    curve = sample.filter("for_curve").select(measured.alias("m"), "label").select("m.*", "label").collect()
+    gap, size, y = (np.array([float(r[c]) for r in curve]) for c in ("gap", "size", "label"))
     if len(set(y)) < 2:
         return flat
     # The sample holds both labels alike; the weights give each its share of all labels.
     share = {q: totals[int(q)] / (y == q).sum() for q in (0.0, 1.0)}
     weight = np.array([share[q] for q in y]) * len(y) / sum(totals.values())
-    return QualityModel(good, bad, *map(float, _logistic(x, y, weight)))
+    mean = float((weight * gap).sum() / max(1.0, (weight * size).sum()))
+    x = (gap + PRIOR_BYTES * mean) / (size + PRIOR_BYTES)
+    return QualityModel(good, bad, mean, *map(float, _logistic(x, y, weight)))
 
 
 def with_score(documents: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
@@ -151,5 +153,6 @@ def with_score(documents: DataFrame, model: QualityModel, name: str = "score") -
         return documents.withColumn(name, F.lit(1 / (1 + math.exp(-model.intercept))))
     gap = fresh(documents, "_gap")
     measured = documents.withColumn(gap, difference(F.col("text"), model.good, model.bad))
-    odds = F.lit(model.slope) * F.col(gap) + F.lit(model.intercept)
+    x = (F.col(gap)["gap"] + F.lit(PRIOR_BYTES * model.mean)) / (F.col(gap)["size"] + PRIOR_BYTES)
+    odds = F.lit(model.slope) * x + F.lit(model.intercept)
     return measured.withColumn(name, 1 / (1 + F.exp(-odds))).drop(gap)
