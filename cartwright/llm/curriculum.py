@@ -57,13 +57,12 @@ def targets(sources: DataFrame, schedule: DataFrame, cap: int = CAP) -> DataFram
     """
     everything = Window.partitionBy()
     phase = Window.partitionBy("until")
-    ends = schedule.select("until").distinct()
-    ends = ends.withColumn("since", F.lag("until", 1, 0.0).over(Window.orderBy("until")))
+    earlier = F.filter(F.collect_set("until").over(everything), lambda x: x < F.col("until"))
     own = Window.partitionBy("_key").orderBy("until")
     share = F.col("weight") / F.sum("weight").over(phase)
     part = F.floor(F.coalesce(share, F.lit(0.0)) * (F.col("until") - F.col("since")) * _UNIT + 0.5)
     parts = (
-        schedule.join(ends, "until")
+        schedule.withColumn("since", F.coalesce(F.array_max(earlier), F.lit(0.0)))
         .withColumn("part", F.when(F.col("weight") > 0, part).otherwise(F.lit(0)).cast("bigint"))
         .withColumn("reached", F.sum("part").over(own))
         .groupBy("_key")

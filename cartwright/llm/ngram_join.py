@@ -222,6 +222,14 @@ def _verified(
     return scratch.stage(alike.select("a", "b").distinct(), "links")
 
 
+def _same_id(features: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (class, id) of ids that have several different texts."""
+    of = features.filter("n > 0").groupBy("doc").agg(F.min("d1").alias("low"), F.max("d1").alias("high"))
+    several = scratch.stage(of.filter("low <> high").select("doc"), "ids-with-several-texts")
+    rows = features.select("doc", "d1", "d2").join(several, "doc").join(classes, ["d1", "d2"])
+    return rows.select(F.col("node").alias("a"), F.col("doc").alias("b"))
+
+
 def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row; alike means a similarity of num / den or more."""
     scratch = Scratch(documents.sparkSession)
@@ -251,7 +259,7 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     by_hub = shared.withColumn("h", hub).withColumn("m", F.struct("n", "rest"))
     pairs = by_hub.filter((F.col("hub") < F.col("doc")) & _may_be_alike("h", "m", num, den))
     pairs = pairs.select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-    links = _verified(pairs, first, texts, n, num, den, scratch)
+    links = _verified(pairs, first, texts, n, num, den, scratch).union(_same_id(features, classes, scratch))
     known = scratch.stage(components(links, scratch), "components")
 
     # Round 2: lists that hold several components, between components.
