@@ -40,16 +40,16 @@ def sample_day(spark, sample_files, tmp_path_factory):
     """The sample day, landed: (landing root, load log)."""
     from cartwright.sources.loads import ingest
 
+    from sample_day import DAY
+
     root = str(tmp_path_factory.mktemp("landing"))
-    return root, ingest(spark, sample_files, root, "2026-03-10", run_id="r1")
+    return root, ingest(spark, sample_files, root, DAY, run_id="r1")
 
 
 @pytest.fixture(scope="session")
 def warehouse(spark, sample_day):
-    from datetime import date, datetime
+    from sample_day import AS_OF, DAY, LOADED_AT
 
     from cartwright.plans.warehouse import open_landing
 
-    return open_landing(
-        spark, sample_day[0], "2026-03-10", date(2026, 3, 15), loaded_at=datetime(2026, 3, 15)
-    )
+    return open_landing(spark, sample_day[0], DAY, AS_OF, loaded_at=LOADED_AT)

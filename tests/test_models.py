@@ -166,11 +166,13 @@ def test_fact_plan_has_no_single_partition_sort(edge):
 
 
 def test_store_writes_catalogue_tables(spark, sample_day):
+    from sample_day import AS_OF, DAY
+
     from cartwright.plans.warehouse import LAYERS, open_landing
 
-    stored = open_landing(spark, sample_day[0], "2026-03-10", date(2026, 3, 15)).store()
+    stored = open_landing(spark, sample_day[0], DAY, AS_OF).store()
     assert len(stored) == sum(map(len, LAYERS.values())) == 34
-    assert spark.table("gold.fact_orders").count() == 5
-    assert spark.table("gold.metric_revenue_by_campaign").count() == 4
-    again = open_landing(spark, sample_day[0], "2026-03-10", date(2026, 3, 15)).store()
-    assert again["fact_orders"].count() == 5
+    assert spark.table("gold.fact_orders").count() == 7
+    assert spark.table("gold.metric_revenue_by_campaign").count() == 3
+    again = open_landing(spark, sample_day[0], DAY, AS_OF).store()
+    assert again["fact_orders"].count() == 7

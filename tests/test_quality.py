@@ -58,8 +58,8 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     bad = dict(tables)
     orders = tables["gold.fact_orders"]
     # Total off by 2 cents fails, by 1 cent passes.
-    orders = set_where(orders, "order_sk = 1", subtotal_amount="140.01")
-    orders = set_where(orders, "order_sk = 5", subtotal_amount="50.00")
+    orders = set_where(orders, "order_sk = 1", subtotal_amount="100.02")
+    orders = set_where(orders, "order_sk = 5", subtotal_amount="3600.01")
     orders = set_where(orders, "order_sk = 2", currency="EUR")
     orders = set_where(orders, "order_sk = 3", customer_sk=None)
     orders = set_where(orders, "order_sk = 4", order_id=None, order_date_key=19990101)
@@ -77,7 +77,7 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     payments = set_where(payments, "payment_sk = 1", net_amount="1.00")
     bad["gold.fact_payments"] = payments
     bad["gold.fact_purchase_orders"] = set_where(
-        tables["gold.fact_purchase_orders"], "po_sk = 2", po_id=21, po_total="1.00"
+        tables["gold.fact_purchase_orders"], "po_sk = 2", po_id=71, po_total="1.00"
     )
     bad["gold.fact_inventory_daily"] = set_where(
         tables["gold.fact_inventory_daily"], "inventory_sk = 1", inventory_value="-1.00"
@@ -87,7 +87,7 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     )
     bad["gold.fact_email_engagement"] = tables["gold.fact_email_engagement"].limit(0)
     bad["silver.stg_customers"] = set_where(
-        tables["silver.stg_customers"], "customer_id = 101", email=None
+        tables["silver.stg_customers"], "customer_id = 35", email=None
     )
     results = Checks(spark, bad.get).all()
     report = append_report(results, str(tmp_path), "r2")
@@ -114,7 +114,7 @@ def test_each_fault_fails_exactly_its_checks(spark, tables, tmp_path):
     assert wrong[0].details == "type mismatches: ['impressions: expected INTEGER, got BIGINT']"
     assert wrong[0].failing_rows == 0
     details = {r.check_id: r.details for r in report.where("category = 'duplicate'").collect()}
-    assert details["dup_gold.fact_orders.order_id"] == "5 total, 4 distinct"
+    assert details["dup_gold.fact_orders.order_id"] == "7 total, 6 distinct"
     with pytest.raises(ChecksFailed):
         append_report(results.where("NOT passed"), str(tmp_path), "r3", must_pass=True)
     # A later report decides what is reported as failing.

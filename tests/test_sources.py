@@ -101,7 +101,7 @@ def test_a_failed_entity_does_not_stop_the_others(spark, sample_files, tmp_path)
     }
     log = {r.entity: r for r in loads.ingest(spark, files, str(tmp_path), "2026-03-10").collect()}
     assert log["orders"].status == "failed" and log["orders"].error_message
-    assert (log["products"].status, log["products"].rows_ingested) == ("success", 4)
+    assert (log["products"].status, log["products"].rows_ingested) == ("success", 5)
     with pytest.raises(KeyError):
         loads.ingest(spark, {"ftp/orders": "x"}, str(tmp_path), "2026-03-10")
     with pytest.raises(ValueError):
@@ -116,7 +116,7 @@ def test_fingerprints_of_the_sample_day(sample_day):
 
 def test_drift_between_loads(spark, sample_files, tmp_path):
     header = ",".join(f.name for f in ITEMS.schema) + "\n"
-    blank = write(tmp_path / "items.csv", header + "1,11,,SHOE-1,Trail Shoe,1,1.00,0.00,1.00\n")
+    blank = write(tmp_path / "items.csv", header + "1,201,,LAMP-A,Desk Lamp,1,1.00,0.00,1.00\n")
     key = "postgres/order_items"
     for run, path in (("r1", sample_files[key]), ("r2", sample_files[key]), ("r3", blank)):
         loads.append_log(
