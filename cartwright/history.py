@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import ratio, round_half_away
 
-ERROR_LENGTH = 500
-
 
 def task_history(tasks: DataFrame) -> DataFrame:
-    """Task rows as they are stored: the error text is cut to its first 500 characters."""
-    return tasks.withColumn("error", F.substring(F.coalesce("error", F.lit("")), 1, ERROR_LENGTH))
+    """Task rows as they are stored: with the whole error text, empty where there is none."""
+    return tasks.withColumn("error", F.coalesce("error", F.lit("")))
 
 
 def failure_log(tasks: DataFrame) -> DataFrame:

@@ -377,7 +377,7 @@ def _profile(table: str, columns: list[str], dates: tuple[str, ...], by: str) ->
         text = f'"{column}"::VARCHAR'
         day = (
             f"regexp_matches({text}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}')"
-            f" AND try_cast(left({text}, 10) AS DATE) IS NOT NULL"
+            f" AND try_cast({text} AS TIMESTAMP) IS NOT NULL"
         )
         dated = f"WHEN date_like = non_null THEN 'datetime64[ns]'" if column in dates else ""
         parts.append(
@@ -611,10 +611,10 @@ _add(
     FROM (SELECT task_id, try_cast(duration_seconds AS DECIMAL(18,3)) AS d FROM b_tasks)
     WHERE d IS NOT NULL GROUP BY task_id""",
 )
-_add("task_history", "SELECT * REPLACE (left(coalesce(error, ''), 500) AS error) FROM b_tasks")
+_add("task_history", "SELECT * REPLACE (coalesce(error, '') AS error) FROM b_tasks")
 _add(
     "failure_log",
-    "SELECT pipeline_run_id, dag_id, task_id, status, attempts, left(error, 500) AS error"
+    "SELECT pipeline_run_id, dag_id, task_id, status, attempts, coalesce(error, '') AS error"
     " FROM b_tasks WHERE status <> 'success'",
 )
 _add(

@@ -10,26 +10,50 @@ from cartwright.sources.entities import Entity
 
 # Cell texts of a CSV extract that mean "missing".
 MISSING_TEXTS = [
-    "", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
 
+# Fixed patterns: a plain day, and the zone at the end of an instant.
+PLAIN_DAY = r"^\d{4}-\d{2}-\d{2}$"
+ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
+
+
 def read_text(
-    spark: SparkSession, entity: Entity, paths: str | list[str], json_lines: bool = False
+    spark: SparkSession,
+    entity: Entity,
+    paths: str | list[str],
+    json_lines: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read an extract with every column as text, in the columns the file itself has.
 
     A JSON array is one document per file and cannot be split; pass ``json_lines`` for
-    extracts with one object per line, which can.
+    extracts with one object per line, which can. Pass ``multi_line`` for CSV whose quoted
+    fields hold line ends; such a file cannot be split either. The keys of JSON are taken
+    from all objects, so that no key is missed: registered ones in their order, then others.
     """
     if entity.file_format == "csv":
         # Without inference all header columns are text, in file order.
         reader = spark.read.option("header", True).option("escape", '"')
-        return reader.option("mode", "FAILFAST").csv(paths)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in entity.schema])
-    reader = spark.read.schema(text_schema).option("multiLine", not json_lines)
-    return reader.option("mode", "FAILFAST").json(paths)
+        return reader.option("multiLine", multi_line).option("mode", "FAILFAST").csv(paths)
+    reader = spark.read.option("multiLine", not json_lines).option("mode", "FAILFAST")
+    found = reader.option("primitivesAsString", True).option("samplingRatio", 1.0).json(paths).schema
+    known = [f.name for f in entity.schema]
+    others = [f.name for f in found if f.name not in known]
+    text_schema = T.StructType([T.StructField(name, T.StringType()) for name in [*known, *others]])
+    return reader.schema(text_schema).json(paths)
+
+
+def _instant(value: Column) -> Column:
+    """A text without a zone is taken as UTC, whatever the session zone is."""
+    zone = (
+        F.when(~value.rlike(r"\d:\d"), F.lit("T00:00:00Z"))
+        .when(~value.rlike(ZONE), F.lit("Z"))
+        .otherwise(F.lit(""))
+    )
+    return F.concat(value, zone).cast("timestamp")
 
 
 def _typed(value: Column, data_type: T.DataType) -> Column:
@@ -42,30 +66,36 @@ def _typed(value: Column, data_type: T.DataType) -> Column:
             F.rint(value.cast("double")).cast("long")
         )
     if isinstance(data_type, T.TimestampType):
-        # A text without a zone is taken as UTC, whatever the session zone is.
-        zone = (
-            F.when(~value.rlike(r"\d:\d"), F.lit("T00:00:00Z"))
-            .when(~value.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), F.lit("Z"))
-            .otherwise(F.lit(""))
-        )
-        return F.concat(value, zone).cast("timestamp")
+        return _instant(value)
     if isinstance(data_type, T.DateType):
-        return F.to_date(F.substring(value, 1, 10))
+        # The whole text counts: a day, or an instant whose day in UTC is taken.
+        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), _instant(value).cast("timestamp_ntz"))
+        return F.when(value.rlike(PLAIN_DAY), value.cast("date")).otherwise(utc.cast("date"))
     return value.cast(data_type)
 
 
 def typed(df: DataFrame, entity: Entity) -> DataFrame:
-    """Cast text columns to the entity's types; a text that does not fit fails the read."""
+    """Cast text columns to the entity's types; a text that does not fit fails the read.
+
+    Columns the registry does not know stay as text, after the others. A registered column
+    that the extract lacks fails the read of CSV and is null in JSON.
+    """
+    types = {f.name: f.dataType for f in entity.schema}
+    others = [c for c in df.columns if c not in types]
     columns = []
-    for field in entity.schema:
-        value = F.col(field.name)
+    for name in [*types, *others]:
+        value = F.col(f"`{name}`")
         if entity.file_format == "csv":
             value = F.when(~value.isin(MISSING_TEXTS), value)
-        columns.append(_typed(value, field.dataType).alias(field.name))
+        columns.append(_typed(value, types.get(name, T.StringType())).alias(name))
     return df.select(*columns)
 
 
 def read_entity(
-    spark: SparkSession, entity: Entity, paths: str | list[str], json_lines: bool = False
+    spark: SparkSession,
+    entity: Entity,
+    paths: str | list[str],
+    json_lines: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    return typed(read_text(spark, entity, paths, json_lines), entity)
+    return typed(read_text(spark, entity, paths, json_lines, multi_line), entity)

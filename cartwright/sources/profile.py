@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Patterns instead of casts: a failed cast costs an exception per value.
 _SHORT_INT = r"^\s*[+-]?\d{1,18}\s*$"
 _LONG_INT = r"^\s*[+-]?\d{19,}\s*$"
+# A day, or an instant with an optional zone; nothing may follow.
+_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s?(Z|[+-]\d{2}:?\d{2})?)?$"
 _DOUBLE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
 
@@ -21,8 +23,8 @@ def _tests(value: Column) -> dict[str, Column]:
         "int_like": value.rlike(_SHORT_INT) | long_int,
         "double_like": value.rlike(_DOUBLE),
         "bool_like": F.lower(value).isin("true", "false"),
-        "date_like": value.rlike(r"^\d{4}-\d{2}-\d{2}")
-        & F.substring(value, 1, 10).try_cast("date").isNotNull(),
+        # The pattern fixes the whole text; the cast refuses days and times that do not exist.
+        "date_like": value.rlike(_DATE) & value.try_cast("timestamp").isNotNull(),
         "zoned": value.rlike(r"\d:\d.*(Z|[+-]\d{2}:?\d{2})$"),
     }
 

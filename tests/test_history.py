@@ -37,7 +37,7 @@ def test_durations_skip_unreadable_values(spark):
 
 def test_failures_and_appending(spark, tmp_path):
     (failure,) = history.failure_log(tasks(spark)).collect()
-    assert (failure.task_id, len(failure.error)) == ("build", 500)
+    assert (failure.task_id, len(failure.error)) == ("build", 600)
     for _ in range(2):
         history.append_task_history(tasks(spark), str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/tasks").count() == 8

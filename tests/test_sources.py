@@ -172,3 +172,91 @@ def test_every_reason_of_a_bad_request_is_listed(spark):
         (4, "bad date"),
         (4, "unknown entity"),
     ]
+
+
+def test_a_day_counts_as_a_whole_text(spark, tmp_path):
+    header = ",".join(f.name for f in SENDS.schema) + "\n"
+    row = "{},m,n,e,1,delivered,true,true,false,f,2026-03-11T01:12:00Z\n"
+
+    def days(*texts):
+        path = write(tmp_path / f"s{abs(hash(texts))}.csv", header + "".join(map(row.format, texts)))
+        return [r.send_date for r in read_entity(spark, SENDS, path).collect()]
+
+    assert days("2026-03-14", "2026-03-14T23:30:00-05:00", "2026-03-14 23:30:00", "2026-03-14T01:00:00+02:00") == [
+        date(2026, 3, 14),
+        date(2026, 3, 15),
+        date(2026, 3, 14),
+        date(2026, 3, 13),
+    ]
+    for junk in ("2026-03-141junk", "2026-03-14junk", "2026-3-14x", "2026-02-30"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT|DATETIME|invalid"):
+            days(junk)
+
+
+def test_day_does_not_depend_on_the_session_zone(spark, tmp_path):
+    header = ",".join(f.name for f in SENDS.schema) + "\n"
+    path = write(tmp_path / "s.csv", header + "2026-03-14T23:30:00-05:00,m,n,e,1,d,true,true,false,f,2026-03-11T01:12:00Z\n")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert read_entity(spark, SENDS, path).first().send_date == date(2026, 3, 15)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dates_with_a_junk_tail_are_text(spark):
+    assert dtypes(spark, ["2026-03-14junk"], dates=["v"]) == "object"
+    assert dtypes(spark, ["2026-03-141"], dates=["v"]) == "object"
+    assert dtypes(spark, ["2026-02-30"], dates=["v"]) == "object"
+    assert dtypes(spark, ["2026-03-14 10:00", "2026-03-14T10:00:00.5"], dates=["v"]) == "datetime64[ns]"
+
+
+def test_one_blank_is_a_text(spark, tmp_path):
+    path = write(tmp_path / "items.csv", ITEM_HEADER + "1,10,5, ,P,1,1.50,0,1.50\n")
+    assert read_entity(spark, ITEMS, path).first().sku == " "
+
+
+def test_unregistered_columns_are_landed_as_text(spark, tmp_path):
+    path = write(tmp_path / "items.csv", ITEM_HEADER.strip() + ",gift note\n1,10,5,S,P,1,1.50,0,1.50,for you\n")
+    df = read_entity(spark, ITEMS, path)
+    assert df.columns[-1] == "gift note" and df.first()["gift note"] == "for you"
+    root = str(tmp_path / "land")
+    assert landing.land(df, root, ITEMS, "2026-03-14") == 1
+    landed = spark.read.parquet(landing.entity_path(root, ITEMS))
+    assert landed.first()["gift note"] == "for you"
+
+
+def test_new_json_keys_are_landed_and_change_the_fingerprint(spark, tmp_path):
+    lines = ['{"transaction_id": "t%d", "order_id": %d}' % (i, i) for i in range(50)]
+    old = write(tmp_path / "old.jsonl", "\n".join(lines))
+    new = write(tmp_path / "new.jsonl", "\n".join([*lines, '{"transaction_id": "t99", "brand_new": {"a": 1}}']))
+    before, after = (read_entity(spark, PAYMENTS, p, json_lines=True) for p in (old, new))
+    assert after.columns == [*before.columns, "brand_new"]
+    assert after.where("transaction_id = 't99'").first()["brand_new"] == '{"a": 1}'
+    prints = [
+        loads.entity_fingerprint(loads.read_text(spark, PAYMENTS, p, True), "payments/transactions").first()
+        for p in (old, new)
+    ]
+    assert prints[0].schema_hash != prints[1].schema_hash
+    assert prints[1].schema_columns.endswith(",brand_new")
+
+
+def test_line_ends_inside_quotes(spark, tmp_path):
+    path = write(tmp_path / "items.csv", ITEM_HEADER + '1,10,5,S,"two\nlines",1,1.50,0,1.50\n2,10,5,S,P,1,1.50,0,1.50\n')
+    df = read_entity(spark, ITEMS, path, multi_line=True)
+    assert [r.product_name for r in df.orderBy("order_item_id").collect()] == ["two\nlines", "P"]
+
+
+def test_unset_scratch_root_is_under_the_warehouse():
+    from types import SimpleNamespace as Fake
+
+    from cartwright.sources.scratch import scratch_root
+
+    def session(**conf):
+        context = Fake(getCheckpointDir=lambda: Fake(isDefined=lambda: False))
+        settings = {f"spark.{k.replace('_', '.')}": v for k, v in conf.items()}
+        return Fake(conf=Fake(get=settings.get), sparkContext=Fake(_jsc=Fake(sc=lambda: context)))
+
+    assert scratch_root(session(sql_warehouse_dir="s3a://lake/wh/")) == "s3a://lake/wh/_scratch"
+    assert scratch_root(session(sql_warehouse_dir="w", checkpoint_dir="hdfs://x")) == "hdfs://x"
+    with pytest.raises(ValueError):
+        scratch_root(session())
