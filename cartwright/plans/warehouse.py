@@ -73,9 +73,9 @@ KEYED = tuple(name for level in KEY_LEVELS for name in level)
 class Warehouse:
     """Every model as a DataFrame attribute, built on first use.
 
-    ``tables`` are the bronze tables by name: stored tables or row-wise views of them. Models
-    are lazy; dimensions and facts are written once to scratch space while their keys are
-    assigned, so everything that reads them reads that copy.
+    ``tables`` are the bronze tables by name: stored tables or row-wise views of them. Staging
+    tables and metrics are lazy. Touching a dimension or a fact runs jobs: it is written once to
+    scratch space while its keys are assigned, and everything that reads it reads that copy.
     """
 
     def __init__(

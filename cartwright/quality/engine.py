@@ -70,10 +70,14 @@ class Checks:
         table: Callable[[str], DataFrame],
         id_type: str = "int",
         null_parent_passes: bool = True,
+        parents: Callable[[str], DataFrame] | None = None,
     ):
         """``null_parent_passes`` keeps the rule of ``NOT IN``: one NULL among the parent's
-        keys lets every child pass. Without it such children are still compared."""
+        keys lets every child pass. Without it such children are still compared.
+        ``parents`` finds the tables that references are looked up in, where they are others.
+        """
         self.spark, self.table = spark, table
+        self.parents = parents or table
         self.id_type = "INTEGER" if id_type == "int" else "BIGINT"
         self.null_parent_passes = null_parent_passes
 
@@ -157,7 +161,8 @@ class Checks:
             keys = []
             for column in columns.split():
                 number = len(checks)
-                text = isinstance(table.schema[column].dataType, T.StringType)
+                # Whole numbers as such, keys of any other type by their text.
+                text = not isinstance(table.schema[column].dataType, T.IntegralType)
                 about = (f"dup_{name}.{column}", "duplicate", name, f"{column} is unique")
                 checks.append((number, *about))
                 keys.append(
@@ -190,6 +195,14 @@ class Checks:
         join on (parent, key).
         """
         checks, parents, children = [], {}, []
+
+        def key_of(table: DataFrame, column: str) -> tuple[Column, Column]:
+            """Whole numbers as such, keys of any other type by their text."""
+            key = F.col(column)
+            if isinstance(table.schema[column].dataType, T.IntegralType):
+                return key.cast("bigint").alias("key"), F.lit("").alias("text")
+            return F.when(key.isNotNull(), F.lit(0).cast("bigint")).alias("key"), key.cast("string").alias("text")
+
         for child, links in specs.REFERENCES.items():
             keys = []
             for link in links.split():
@@ -199,7 +212,7 @@ class Checks:
                     F.struct(
                         F.lit(len(checks)).alias("check_no"),
                         F.lit(parent).alias("parent_no"),
-                        F.col(column).cast("bigint").alias("key"),
+                        *key_of(self.table(child), column),
                     )
                 )
                 about = (f"fk_{child}.{column}__{target}", "referential", child)
@@ -215,9 +228,9 @@ class Checks:
         )
         parent_keys = _union(
             [
-                self.table(target.rsplit(".", 1)[0]).select(
+                self.parents(target.rsplit(".", 1)[0]).select(
                     F.lit(number).alias("parent_no"),
-                    F.col(target.rsplit(".", 1)[1]).cast("bigint").alias("key"),
+                    *key_of(self.parents(target.rsplit(".", 1)[0]), target.rsplit(".", 1)[1]),
                 )
                 for target, number in parents.items()
             ]
@@ -225,9 +238,9 @@ class Checks:
         lost = (
             _union(children)
             .where(F.col("key").isNotNull())
-            .groupBy("check_no", "parent_no", "key")
+            .groupBy("check_no", "parent_no", "key", "text")
             .agg(F.count(F.lit(1)).alias("n"))
-            .join(parent_keys, ["parent_no", "key"], "left_anti")
+            .join(parent_keys, ["parent_no", "key", "text"], "left_anti")
             .groupBy("check_no")
             .agg(F.sum("n").alias("_lost"))
         )

@@ -9,10 +9,19 @@ from __future__ import annotations
 
 import re
 
-from cartwright.plans.warehouse import GOLD
+from cartwright.plans.warehouse import GOLD, LAYERS
 from cartwright.quality import specs
 from cartwright.registry.queries import MODELS
-from cartwright.registry.roles import AS_OF, FIRST_DAY, LAST_DAY, ROLES, role_sql
+from cartwright.registry.roles import (
+    AS_OF,
+    FIRST_DAY,
+    KEPT_PARENTS,
+    LAST_DAY,
+    ROLES,
+    TURNED_AMOUNTS,
+    role_sql,
+    turned,
+)
 from cartwright.sources.entities import ENTITIES
 from cartwright.sources.seeds import CATEGORY_MAP, EXCHANGE_RATES
 
@@ -323,8 +332,27 @@ for _query, _table in MODELS.items():
 
 _add(
     "bronze_partition",
-    "SELECT send_date, campaign_id, recipient_email, customer_id, open_flag FROM b_email_sends"
-    " WHERE send_date = DATE '2024-01-15'",
+    "SELECT * FROM b_email_sends WHERE send_date = DATE '2024-01-15'",
+)
+_add(
+    "csv_extract_typed",
+    """SELECT * REPLACE (
+        CASE WHEN customer_id % 5 = 0 THEN (send_date + INTERVAL 1 DAY)::DATE ELSE send_date END AS send_date,
+        CASE WHEN customer_id % 7 = 0 THEN NULL ELSE campaign_name END AS campaign_name,
+        date_trunc('second', loaded_at) AS loaded_at),
+        'said "' || campaign_id || '", twice' AS batch_note
+    FROM b_email_sends""",
+)
+_add(
+    "json_extract_typed",
+    """SELECT *, CASE WHEN order_id % 100 = 1 THEN 'v' || order_id END AS voucher
+    FROM b_payment_transactions""",
+)
+_KEYS = ",".join(f.name for e in ENTITIES if e.table == "payment_transactions" for f in e.schema)
+_add(
+    "json_extract_drift",
+    f"""SELECT dt, keys AS schema_columns, (SELECT count(*) FROM b_payment_transactions) AS row_count, drifted
+    FROM (VALUES ('2024-01-01', '{_KEYS}', false), ('2024-01-02', '{_KEYS},voucher', true)) t(dt, keys, drifted)""",
 )
 _add(
     "landing_roundtrip",
@@ -401,7 +429,7 @@ _HASHED = """SELECT grp, left(sha256(string_agg(column_name || ':' || dtype, '|'
         AS schema_hash, string_agg(column_name, ',' ORDER BY position) AS schema_columns
     FROM ({profile}) GROUP BY grp"""
 _EVENTS = _profile(
-    "b_event_texts", "event_id ts user_id event_type value".split(), ("ts",), "dt"
+    "b_event_texts", "event_id ts user_id event_type value props".split(), ("ts",), "dt"
 )
 _add("schema_profile", f"SELECT * EXCLUDE (grp), grp AS dt FROM ({_EVENTS})")
 _add(
@@ -440,12 +468,15 @@ _add(
     """SELECT code AS currency, rate AS rate_to_usd,
         (SELECT count(*) FROM stg_orders WHERE currency = code) AS orders FROM fx""",
 )
+_STEP_OF = {e.table: f"b_{e.table}" for e in ENTITIES}
+_STEP_OF |= {"seed_category_mapping": "category", "seed_exchange_rates": "fx"}
 _add(
     "table_stats",
     "SELECT layer, table_name, sum(n)::BIGINT AS row_count FROM ("
     + _union(
-        f"SELECT 'silver' AS layer, 'stg_{e.table}' AS table_name, count(*) AS n FROM stg_{e.table}"
-        for e in ENTITIES
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS n FROM {_STEP_OF.get(name, name)}"
+        for layer, names in LAYERS.items()
+        for name in names
     )
     + ") GROUP BY ROLLUP (layer, table_name)",
 )
@@ -568,8 +599,8 @@ _SCHEMA = [
         "schema",
         t,
         "Schema matches expected definition",
-        f"SELECT 0::BIGINT AS n, (SELECT count(*) FROM {_bare(t)}) AS row_count",
-    ).replace(" FROM (SELECT 0", ", row_count FROM (SELECT 0")
+        "SELECT 0::BIGINT AS n",
+    )
     for t in specs.SCHEMAS
 ]
 _add("dq_nulls", _union(_NULLS))
@@ -578,6 +609,24 @@ _add("dq_nonnegative", _union(s for k, s in _ROWS.items() if k.startswith("arith
 _add("dq_duplicates", _union(_DUPLICATES))
 _add("dq_references", _union(_REFERENCES))
 _add("dq_currency", _union(_CURRENCY))
+
+
+def _orphaned(sql: str) -> str:
+    """The same check with the parent's rows left that are kept."""
+    for parent, kept in KEPT_PARENTS.items():
+        sql = re.sub(rf"(NOT IN \(SELECT \w+ FROM {parent})\)", rf"\1 WHERE {kept})", sql)
+    return sql
+
+
+def _turned(sql: str) -> str:
+    for table, (_, columns) in TURNED_AMOUNTS.items():
+        replaced = ", ".join(f"{turned(table, c)} AS {c}" for c in columns)
+        sql = sql.replace(f"AS n FROM {table} ", f"AS n FROM (SELECT * REPLACE ({replaced}) FROM {table}) ")
+    return sql
+
+
+_add("dq_references_orphans", _union(map(_orphaned, _REFERENCES)))
+_add("dq_amount_faults", _union(map(_turned, _ARITHMETIC)))
 _add("dq_schema", _union(_SCHEMA))
 _add(
     "dq_summary",

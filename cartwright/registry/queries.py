@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import history
 from cartwright.operators import dense_key
 from cartwright.plans import dims
 from cartwright.plans.metrics import attributed_revenue
-from cartwright.plans.warehouse import GOLD, KEYED, missing_tables, table_stats
+from cartwright.plans.warehouse import GOLD, KEYED, LAYERS, missing_tables, table_stats
 from cartwright.quality import Checks, latest_failures, summary
-from cartwright.registry.roles import ID_TYPE, role, shop
+from cartwright.registry.roles import ID_TYPE, KEPT_PARENTS, TURNED_AMOUNTS, role, shop, turned
 from cartwright.sources import landing, loads, profile
 from cartwright.sources.entities import BY_TABLE, ENTITIES
+from cartwright.sources.files import read_entity, read_text
 from cartwright.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,7 +83,7 @@ def bronze_partition(spark: SparkSession, folder: str) -> DataFrame:
     """Land every day of the e-mail sends, then read one day back."""
     root, entity = _land_sends(spark, folder)
     day = landing.read_partition(spark, root, entity, "2024-01-15")
-    return day.select("send_date", "campaign_id", "recipient_email", "customer_id", "open_flag")
+    return day.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
 def _land_sends(spark: SparkSession, folder: str):
@@ -109,6 +110,68 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _wall_clock(instant: Column) -> Column:
+    """An instant as UTC wall-clock time, whatever the session zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+
+
+@query
+def csv_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The sends written as CSV text and read as an extract is.
+
+    Every fifth customer's day is an instant of 23:30 five hours west, so the next day in
+    UTC; every seventh has no campaign name; one column is not registered.
+    """
+    sends = role(spark, folder, "email_sends")
+    late = F.concat(F.date_format("send_date", "yyyy-MM-dd"), F.lit("T23:30:00-05:00"))
+    texts = (
+        sends.withColumn("send_date", F.when(F.col("customer_id") % 5 == 0, late).otherwise(F.col("send_date").cast("string")))
+        .withColumn("campaign_name", F.when(F.col("customer_id") % 7 == 0, F.lit("N/A")).otherwise(F.col("campaign_name")))
+        .withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+        .withColumn("batch note", F.concat(F.lit('said "'), F.col("campaign_id"), F.lit('", twice')))
+    )
+    path = f"{Scratch(spark).path}/sends.csv"
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.options(header=True, escape='"', **plain).csv(path)
+    read = read_entity(spark, BY_TABLE["email_sends"], path)
+    return read.withColumn("loaded_at", _wall_clock(F.col("loaded_at"))).withColumnRenamed("batch note", "batch_note")
+
+
+def _payment_texts(spark: SparkSession, folder: str, more: bool) -> str:
+    """Payments as JSON text, one object per line; with ``more`` some have a key of their own."""
+    payments = role(spark, folder, "payment_transactions").withColumn(
+        "provider_created_at", F.date_format("provider_created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    )
+    if more:
+        payments = payments.withColumn("voucher", F.when(F.col("order_id") % 100 == 1, F.concat(F.lit("v"), "order_id")))
+    path = f"{Scratch(spark).path}/payments.json"
+    payments.write.json(path)
+    return path
+
+
+@query
+def json_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The payments written as JSON text, some with a new key, and read as an extract is."""
+    path = _payment_texts(spark, folder, more=True)
+    read = read_entity(spark, BY_TABLE["payment_transactions"], path, json_lines=True)
+    return read.withColumn("provider_created_at", _wall_clock(F.col("provider_created_at")))
+
+
+@query
+def json_extract_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of two loads of payments, and that a new key is a drift."""
+    prints = []
+    for dt, more in (("2024-01-01", False), ("2024-01-02", True)):
+        path = _payment_texts(spark, folder, more)
+        texts = read_text(spark, BY_TABLE["payment_transactions"], path, json_lines=True)
+        found = loads.entity_fingerprint(texts, "payments/transactions")
+        counted = texts.agg(F.count(F.lit(1)).alias("row_count"))
+        # One row each.
+        prints.append(found.join(F.broadcast(counted)).select(F.lit("payments").alias("entity"), F.lit(dt).alias("dt"), "*"))
+    compared = profile.drift(prints[0].unionByName(prints[1]))
+    return compared.select("dt", "schema_columns", "row_count", "drifted")
+
+
 @query
 def landing_empty_guard(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts per extract; one without rows may not be landed."""
@@ -186,13 +249,12 @@ def seed_fx(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _silver(shop_) -> dict[str, DataFrame]:
-    return {f"stg_{e.table}": shop_.table(f"stg_{e.table}") for e in ENTITIES}
-
-
 @named("table_stats")
 def table_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return table_stats({"silver": _silver(shop(spark, folder))})
+    """Rows of every table of the three layers."""
+    shop_ = shop(spark, folder)
+    shop_.prepare(*KEYED)
+    return table_stats({layer: {n: shop_.table(n) for n in names} for layer, names in LAYERS.items()})
 
 
 @named("missing_tables")
@@ -262,15 +324,34 @@ def dq_nulls(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_schema(spark: SparkSession, folder: str) -> DataFrame:
-    """Schema checks with the number of rows each stands for."""
+    """Schema checks; they look at the models' columns only, so the tables are left empty."""
+    shop_ = shop(spark, folder, empty=True)
+    return Checks(spark, lambda name: shop_.table(name.split(".")[1]), id_type=ID_TYPE).schemas()
+
+
+@query
+def dq_references_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """References into parents that lack every tenth key."""
     checks = _checks(spark, folder)
-    results = checks.schemas()
-    names = [n for n in GOLD if n.startswith(("dim_c", "dim_p", "fact_"))]
-    stats = table_stats({"gold": {n: checks.table(f"gold.{n}") for n in names}})
-    counts = stats.where("table_name IS NOT NULL").select(
-        F.concat(F.lit("gold."), "table_name").alias("table_name"), "row_count"
-    )
-    return results.join(counts, "table_name", "left")
+
+    def parents(name: str) -> DataFrame:
+        return checks.table(name).where(KEPT_PARENTS.get(name.split(".")[1], "true"))
+
+    return Checks(spark, checks.table, id_type=ID_TYPE, parents=parents).references()
+
+
+@query
+def dq_amount_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Arithmetic and sign checks of amounts whose sign is turned on every seventh row."""
+    checks = _checks(spark, folder, *_AMOUNTS)
+
+    def faulty(name: str) -> DataFrame:
+        table = name.split(".")[1]
+        columns = TURNED_AMOUNTS[table][1] if table in TURNED_AMOUNTS else ()
+        found = checks.table(name)
+        return found.withColumns({c: F.expr(turned(table, c)).cast(found.schema[c].dataType) for c in columns})
+
+    return Checks(spark, faulty, id_type=ID_TYPE).arithmetic()
 
 
 @query

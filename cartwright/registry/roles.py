@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.plans.warehouse import Warehouse
-from cartwright.sources.scratch import Scratch
+from cartwright.sources.scratch import SchemaOnly, Scratch
 
 AS_OF = date(1998, 9, 2)
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2027, 12, 31)
@@ -220,10 +220,32 @@ ROLES = {
             CASE WHEN event_id % 500 = 3 THEN NULL ELSE CAST(user_id AS STRING) END AS user_id,
             event_type,
             CASE WHEN DAY(ts) % 10 = 0 THEN 'EUR ' || CAST(value AS STRING)
-                 ELSE CAST(value AS STRING) END AS value
+                 ELSE CAST(value AS STRING) END AS value,
+            props
         FROM {events}""",
 }
 
+# Amounts whose sign is turned on every seventh row, by table: the key and the columns.
+TURNED_AMOUNTS = {
+    "fact_orders": ("order_sk", ("total_amount", "total_amount_usd")),
+    "fact_order_items": ("order_item_sk", ("unit_price", "gross_profit")),
+    "fact_payments": ("payment_sk", ("gross_amount",)),
+    "fact_inventory_daily": ("inventory_sk", ("inventory_value",)),
+    "fact_purchase_orders": ("po_sk", ("po_total",)),
+}
+# Parents that lack some keys: what is kept of them.
+KEPT_PARENTS = {
+    "dim_customers": "customer_sk % 10 <> 0",
+    "dim_products": "product_sk % 10 <> 0",
+    "dim_date": "date_key % 10 <> 0",
+    "fact_orders": "order_sk % 10 <> 0",
+}
+
+
+def turned(table: str, column: str) -> str:
+    key = TURNED_AMOUNTS[table][0]
+    return f"CASE WHEN {key} % 7 = 0 THEN -{column} ELSE {column} END"
+
 INPUTS = ("nation", "customer", "part", "orders", "lineitem", "events")
 
 
@@ -246,27 +268,29 @@ class _Roles(dict):
     Grouped roles are stored first: bronze tables are stored tables or row-wise views of them.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch):
+    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch, empty: bool):
         super().__init__()
-        self._spark, self._folder, self._scratch = spark, folder, scratch
+        self._spark, self._folder, self._scratch, self._empty = spark, folder, scratch, empty
 
     def __contains__(self, name: object) -> bool:
         return name in ROLES
 
     def __missing__(self, name: str) -> DataFrame:
         table = role(self._spark, self._folder, name)
-        if "GROUP BY" in ROLES[name]:
+        if self._empty:
+            table = self._spark.createDataFrame([], table.schema)
+        elif "GROUP BY" in ROLES[name]:
             table = self._scratch.stage(table, name)
         self[name] = table
         return table
 
 
-def shop(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse over the roles."""
-    scratch = Scratch(spark)
+def shop(spark: SparkSession, folder: str, empty: bool = False) -> Warehouse:
+    """The warehouse over the roles; with ``empty`` over their columns only."""
+    scratch = SchemaOnly(spark) if empty else Scratch(spark)
     return Warehouse(
         spark,
-        _Roles(spark, folder, scratch),
+        _Roles(spark, folder, scratch, empty),
         AS_OF,
         first_day=FIRST_DAY,
         last_day=LAST_DAY,

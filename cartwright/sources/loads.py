@@ -12,6 +12,7 @@ from cartwright.sources import landing, profile
 from cartwright.sources.entities import BY_KEY, ENTITIES
 from cartwright.sources.files import MISSING_TEXTS, read_text, typed
 
+# The columns of the load log.
 LOG_SCHEMA = """run_id string, source string, entity string, source_file string, status string,
     rows_ingested bigint, raw_path string, schema_hash string, schema_columns string,
     error_message string, started_at timestamp, completed_at timestamp, duration_seconds double"""
@@ -47,9 +48,7 @@ def rejected_requests(requests: DataFrame, registry: DataFrame) -> DataFrame:
             ),
         )
     )
-    checked = requests.join(F.broadcast(sources), "source", "left").join(
-        F.broadcast(pairs), ["source", "entity"], "left"
-    )
+    checked = requests.join(sources, "source", "left").join(pairs, ["source", "entity"], "left")
     return checked.select(*requests.columns, F.explode(reasons).alias("reason"))
 
 
@@ -92,9 +91,10 @@ def ingest(
         status, rows, path, schema_hash, names, error = "failed", 0, "", "", "", ""
         try:
             texts = read_text(spark, entity, paths, json_lines)
+            # The fingerprint first: if it fails, the day already landed stays as it is.
+            schema_hash, names = entity_fingerprint(texts, key).first()
             rows = landing.land(typed(texts, entity), root, entity, dt)
             path = f"{landing.entity_path(root, entity)}/dt={dt}"
-            schema_hash, names = entity_fingerprint(texts, key).first()
             status = "success"
         except Exception as problem:  # noqa: BLE001 - any failure is logged, the rest go on
             error = f"{type(problem).__name__}: {problem}"
