@@ -11,7 +11,9 @@ Candidates. Two sets with a similarity of t share one of their first |x| - ceil(
 (prefix filter). So the prefixes are the posting lists' rows, and pairs meet on an element. A pair
 goes on if its sizes allow t (length filter), and if what lies before and behind the
 shared element in both lists is enough (positional filter), and if the counts of the elements by
-hash class, whose smaller ones bound the overlap, are enough (suffix filter). Each pair is
+hash class, whose smaller ones bound the overlap, are enough (suffix filter; where lists are compared
+with themselves, the counts' parities are compared within the join already: every class of
+different parity holds an element that only one set has). Each pair is
 then verified once, on whole sets made again from the texts.
 
 Large groups. Comparing all members of a list with each other would take the square of its
@@ -45,6 +47,7 @@ from cartwright.sources.scratch import Scratch
 
 CELLS = 1 << 22  # of the table of counts
 CLASSES = 128  # of the suffix filter
+PARITIES = 512
 NO_ID = (1 << 63) - 1
 _STRETCH = 1 << 14
 _CACHED = 500_000
@@ -128,7 +131,9 @@ def _levels(texts: DataFrame, n: int) -> bytes:
 
 
 def _features(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc, n, d1, d2: digest, prefix: first elements in the rare-first order, classes: counts)."""
+    """(doc, n, d1, d2: digest, prefix: first elements in the rare-first order, classes: counts,
+    parities: bits).
+    """
     levels = texts.sparkSession.sparkContext.broadcast(_levels(texts, n))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +148,21 @@ def _features(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 order = np.lexsort((own, level_of[_cell(own)]))[:first]
                 counts = np.bincount((own & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
                 classes = counts.astype(np.uint16).tobytes() if counts.max(initial=0) < 1 << 16 else b""
-                rows.append((doc, size, digest[0], digest[1], own[order].view(np.int64), classes))
+                odd = np.bincount((own >> np.uint64(7) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+                parities = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                rows.append((doc, size, digest[0], digest[1], own[order].view(np.int64), classes, parities))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                ["doc", "n", "d1", "d2", "prefix", "classes"],
+                [name for name, _ in columns],
             )
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-    return texts.mapInArrow(describe, "doc long, n long, d1 long, d2 long, prefix array<long>, classes binary")
+    longs = pa.list_(pa.int64())
+    columns = [(c, pa.int64()) for c in ("doc", "n", "d1", "d2")]
+    columns += [("prefix", longs), ("classes", pa.binary()), ("parities", longs)]
+    types = [t for _, t in columns]
+    return texts.mapInArrow(
+        describe, "doc long, n long, d1 long, d2 long, prefix array<long>, classes binary, parities array<long>"
+    )
 
 
 def _may_be_alike(a: str, b: str, num: int, den: int) -> Column:
@@ -161,6 +173,15 @@ def _may_be_alike(a: str, b: str, num: int, den: int) -> Column:
     return (na * den >= nb * num) & (nb * den >= na * num) & (most * (num + den) >= (na + nb) * num)
 
 
+def _parities_allow(a: str, b: str, num: int, den: int) -> Column:
+    """At least one element that only one set has for each class of different parity."""
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    apart = [
+        F.bit_count(F.col(f"{a}.parities")[i].bitwiseXOR(F.col(f"{b}.parities")[i])) for i in range(PARITIES // 64)
+    ]
+    return (n - sum(apart[1:], apart[0])) * (num + den) >= n * (2 * num)
+
+
 def _overlap(with_sets: bool) -> Column:
     """What two sets share: of their classes (an upper bound; null if unknown), or of the sets."""
 
@@ -240,7 +261,10 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     classes = features.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc").alias("node"))
     classes = scratch.stage(classes, "classes")
     first = features.join(classes.withColumnRenamed("node", "doc"), ["d1", "d2", "doc"], "left_semi")
-    first = scratch.stage(first.dropDuplicates(["d1", "d2", "doc"]).select("doc", "n", "prefix", "classes"), "representatives")
+    first = scratch.stage(
+        first.dropDuplicates(["d1", "d2", "doc"]).select("doc", "n", "prefix", "classes", "parities"),
+        "representatives",
+    )
     postings = first.select("doc", "n", F.posexplode("prefix").alias("place", "token")).select(
         "token", "doc", "n", (F.col("n") - F.col("place") - 1).alias("rest")
     )
@@ -272,7 +296,8 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
         F.max_by("component", F.col("members")).alias("largest"), F.count("*").alias("parts")
     )
     mixed = scratch.stage(mixed.filter("parts > 1").drop("parts"), "mixed-lists")
-    rest = scratch.stage(labelled.join(mixed, "token"), "mixed-postings")
+    rest = labelled.join(mixed, "token").join(first.select("doc", "n", "parities"), ["doc", "n"])
+    rest = scratch.stage(rest, "mixed-postings")
     one, other = rest.filter("component <> largest").alias("x"), rest.alias("y")
     apart = (
         (F.col("x.token") == F.col("y.token"))
@@ -280,7 +305,9 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
         & (F.col("x.doc") != F.col("x.hub"))
         & (F.col("y.doc") != F.col("y.hub"))
     )
-    more = one.join(other, apart & _may_be_alike("x", "y", num, den)).select(
+    more = one.join(
+        other, apart & _may_be_alike("x", "y", num, den) & _parities_allow("x", "y", num, den)
+    ).select(
         F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
     )
     further = _verified(more.distinct(), first, texts, n, num, den, scratch)

@@ -251,7 +251,7 @@ def test_no_python_on_the_main_path(spark):
     docs = spark.createDataFrame([(1, "a b c d e", "s")], "doc_id long, text string, source string")
     turns = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     pages = docs.select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"))
-    rules = spark.sql("SELECT 'block' AS action, 'net' AS host, '/' AS path")
+    rules = spark.createDataFrame([("block", "net", "/")], "action string, host string, path string")
     for df in (fingerprints.with_fingerprint(docs, "text", "p"), chat.format_chats(turns), curriculum.mix(docs), url_filter.judge(pages, rules)):
         plan = _plan(df)
         assert [w for w in ("EvalPython", "PythonUDF", "InPandas", "InArrow", "Cartesian", "NestedLoop") if w in plan] == []

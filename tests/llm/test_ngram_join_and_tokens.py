@@ -49,7 +49,7 @@ def _family(rng, start, size, words, edits):
     return rows
 
 
-@pytest.mark.parametrize("n,num", [(5, 80), (4, 85), (2, 50)])
+@pytest.mark.parametrize("n,num", [(4, 85), (2, 50)])
 def test_components_match_brute_force(spark, n, num):
     rng = random.Random(num)
     rows = _family(rng, 1000, 40, 60, 4) + _family(rng, 2000, 30, 120, 8) + _family(rng, 3000, 25, 12, 2) + _family(rng, 4000, 10, 3, 1)
