@@ -31,8 +31,9 @@ def window_credit(
     * outcomes become one row per (person, day).
 
     A sum over pairs is then weight x daily amount. Distinct ids are daily counts as long as
-    an id occurs on one (person, day) only; ids that occur on several are counted by
-    themselves.
+    an id occurs on one (person, day) only. Ids that occur on several are credited together
+    or not at all if they occur on exactly the same ones, so each such set of places is met with the campaigns
+    once, with the number of its ids.
     """
     reach = (
         touches.where(F.col(person).isNotNull() & F.col(touch_day).isNotNull())
@@ -83,12 +84,25 @@ def window_credit(
             F.sum("single_ids").alias("outcomes"),
         )
     )
+    # A set of places is known by its size and the sum of its places' hashes, in four lanes.
+    one = F.xxhash64("person", "day")
+    two = F.xxhash64("day", "person", F.lit("second"))
+    low = F.lit((1 << 32) - 1)
+    lanes = [x for h in (one, two) for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(low))]
+    shape = ["places", "s0", "s1", "s2", "s3"]
+    sets = (
+        several.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("places"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(lanes)])
+        .groupBy(*shape)
+        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("ids"))
+        .select("id", "ids")
+    )
     repeated = (
-        reach.join(several, ["person", "day"])
-        .select("campaign", "id")
+        reach.join(several.join(sets, "id"), ["person", "day"])
+        .select("campaign", "id", "ids")
         .distinct()
         .groupBy("campaign")
-        .agg(F.count("id").alias("outcomes"))
+        .agg(F.sum("ids").alias("outcomes"))
         .select("campaign", F.lit(None).alias("amount"), "outcomes")
     )
     return (

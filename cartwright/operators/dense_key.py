@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def dense_key(
 
     Columns in ``order_only`` take part in the order and are not kept.
 
-    1. Range-partition and sort by the order, and by the row tag where there is one, so that
+    1. Evaluate the rows once. Range-partition and sort by the order, and by the row tag where there is one, so that
        a key held by many rows does not end up in one partition.
     2. Note each row's partition and place in it, and write the result once. The range
        boundaries come from a sample, so they must not be drawn twice.
@@ -47,15 +48,21 @@ def dense_key(
         keys.append(F.col(ROW_TAG))
     order = [k.asc_nulls_last() for k in keys]
     place = F.monotonically_increasing_id()
+    # Drawing the range boundaries and the shuffle both read the input: the first keeps the
+    # rows on the executors' disks for the second. A lost executor's part is computed again.
+    kept_rows = df.persist(StorageLevel.DISK_ONLY)
     placed = (
-        df.repartitionByRange(*order)
+        kept_rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop(ROW_TAG, *order_only)
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     )
-    staged = scratch.stage(placed, name)
+    try:
+        staged = scratch.stage(placed, name)
+    finally:
+        kept_rows.unpersist()
     sizes = staged.groupBy("_part").agg((F.max("_place") + 1).alias("_size")).collect()
     by_part = {row["_part"]: row["_size"] for row in sizes}
     ends = accumulate(by_part.get(part, 0) for part in range(max(by_part, default=0) + 1))

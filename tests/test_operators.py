@@ -214,3 +214,49 @@ def test_attribution_equals_brute_force(spark):
     assert result == brute_force(touches, outcomes, 7)
     text = plan(frame)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_attribution_of_many_repeated_ids(spark):
+    """Ids on the same places meet the campaigns once, however many they are."""
+    touches = [(f"c{i % 40}", 1, DAY + timedelta(days=i % 3)) for i in range(200)]
+    outcomes = [(o, 1, DAY + timedelta(days=n), D("1.00")) for o in range(300) for n in (o % 2, 9)]
+    result, frame = credit(spark, touches, outcomes)
+    assert result == brute_force(touches, outcomes, 7)
+    # 40 campaigns and two sets of two places, not 300 ids.
+    executed = frame._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("HashAggregate") > 0
+    met = [int(x) for x in output_rows(frame, "SortMergeJoin", "BroadcastHashJoin")]
+    assert max(met) <= 2 * 40 * 10 + 600
+
+
+def output_rows(frame, *nodes):
+    """Rows that the named operators of an executed plan put out."""
+    found, stack = [], [frame._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            stack.append(node.executedPlan())
+            continue
+        if hasattr(node, "plan") and name.endswith("QueryStage"):
+            stack.append(node.plan())
+            continue
+        if any(name.startswith(n) for n in nodes):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_dense_key_evaluates_its_input_once(spark):
+    counter = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        counter.add(1)
+        return -i
+
+    rows = spark.range(0, 1500, 1, 4).withColumn("k", counted("id"))
+    keyed = dense_key(rows, ["k"], "n", Scratch(spark))
+    assert keyed.agg(F.max("n")).first()[0] == 1500
+    assert counter.value == 1500
