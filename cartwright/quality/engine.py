@@ -132,8 +132,7 @@ class Checks:
         for name, spec in specs.SCHEMAS.items():
             actual = {f.name: sql_type(f.dataType) for f in self.table(name).schema}
             missing, mismatches = [], []
-            for entry in spec.split():
-                column, wanted = entry.split(":")
+            for column, wanted in spec:
                 wanted = self.id_type if wanted == "ID" else wanted
                 if column not in actual:
                     missing.append(column)
@@ -159,7 +158,7 @@ class Checks:
         for name, columns in specs.UNIQUE.items():
             table = self.table(name)
             keys = []
-            for column in columns.split():
+            for column in columns:
                 number = len(checks)
                 # Whole numbers as such, keys of any other type by their text.
                 text = not isinstance(table.schema[column].dataType, T.IntegralType)
@@ -205,8 +204,8 @@ class Checks:
 
         for child, links in specs.REFERENCES.items():
             keys = []
-            for link in links.split():
-                column, target = link.split(">")
+            for column, parent_table, parent_column in links:
+                target = f"{parent_table}.{parent_column}"
                 parent = parents.setdefault(target, len(parents))
                 keys.append(
                     F.struct(

@@ -8,76 +8,117 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 REQUIRED = {
-    "gold.dim_customers": "customer_sk customer_id canonical_customer_id email",
-    "gold.dim_products": "product_sk product_id sku product_name",
-    "gold.dim_date": "date_key full_date",
-    "gold.fact_orders": "order_sk order_id customer_sk order_date_key order_status currency"
-    " total_amount",
-    "gold.fact_order_items": "order_item_sk order_item_id order_sk product_sk quantity unit_price",
-    "gold.fact_payments": "payment_sk transaction_id order_sk payment_method status currency"
-    " gross_amount",
-    "gold.fact_inventory_daily": "inventory_sk snapshot_date_key product_sk warehouse_id"
-    " on_hand_qty",
-    "gold.fact_campaign_performance": "campaign_perf_sk campaign_date_key platform campaign_id"
-    " impressions",
-    "gold.fact_email_engagement": "email_sk send_date_key customer_sk delivery_status",
-    "gold.fact_purchase_orders": "po_sk po_id product_sk ordered_qty",
-    "silver.stg_orders": "order_id customer_id order_date currency",
-    "silver.stg_order_items": "order_item_id order_id product_id",
-    "silver.stg_customers": "customer_id email",
-    "silver.stg_products": "product_id sku",
-    "silver.stg_payment_transactions": "transaction_id order_id currency",
+    "gold.dim_customers": ("customer_sk", "customer_id", "canonical_customer_id", "email"),
+    "gold.dim_products": ("product_sk", "product_id", "sku", "product_name"),
+    "gold.dim_date": ("date_key", "full_date"),
+    "gold.fact_orders": (
+        "order_sk", "order_id", "customer_sk", "order_date_key", "order_status", "currency",
+        "total_amount",
+    ),
+    "gold.fact_order_items": (
+        "order_item_sk", "order_item_id", "order_sk", "product_sk", "quantity", "unit_price",
+    ),
+    "gold.fact_payments": (
+        "payment_sk", "transaction_id", "order_sk", "payment_method", "status", "currency",
+        "gross_amount",
+    ),
+    "gold.fact_inventory_daily": (
+        "inventory_sk", "snapshot_date_key", "product_sk", "warehouse_id", "on_hand_qty",
+    ),
+    "gold.fact_campaign_performance": (
+        "campaign_perf_sk", "campaign_date_key", "platform", "campaign_id", "impressions",
+    ),
+    "gold.fact_email_engagement": ("email_sk", "send_date_key", "customer_sk", "delivery_status"),
+    "gold.fact_purchase_orders": ("po_sk", "po_id", "product_sk", "ordered_qty"),
+    "silver.stg_orders": ("order_id", "customer_id", "order_date", "currency"),
+    "silver.stg_order_items": ("order_item_id", "order_id", "product_id"),
+    "silver.stg_customers": ("customer_id", "email"),
+    "silver.stg_products": ("product_id", "sku"),
+    "silver.stg_payment_transactions": ("transaction_id", "order_id", "currency"),
 }
 
-# Column and type; "ID" is the warehouse's identifier type.
+# Columns with their types; "ID" is the warehouse's identifier type.
 SCHEMAS = {
-    "gold.dim_customers": "customer_sk:ID customer_id:ID canonical_customer_id:ID email:VARCHAR",
-    "gold.dim_products": "product_sk:ID product_id:ID sku:VARCHAR product_name:VARCHAR",
-    "gold.fact_orders": "order_sk:ID order_id:ID customer_sk:ID order_date_key:INTEGER"
-    " currency:VARCHAR total_amount:DECIMAL(18,2) total_amount_usd:DECIMAL(18,2)",
-    "gold.fact_order_items": "order_item_sk:ID order_sk:ID product_sk:ID quantity:INTEGER"
-    " unit_price:DECIMAL(18,2) line_total:DECIMAL(18,2)",
-    "gold.fact_payments": "payment_sk:ID transaction_id:VARCHAR order_sk:ID currency:VARCHAR"
-    " gross_amount:DECIMAL(18,2)",
-    "gold.fact_inventory_daily": "inventory_sk:ID snapshot_date_key:INTEGER product_sk:ID"
-    " on_hand_qty:INTEGER",
-    "gold.fact_campaign_performance": "campaign_perf_sk:ID campaign_date_key:INTEGER"
-    " platform:VARCHAR impressions:INTEGER",
-    "gold.fact_email_engagement": "email_sk:ID send_date_key:INTEGER customer_sk:ID"
-    " delivery_status:VARCHAR",
-    "gold.fact_purchase_orders": "po_sk:ID po_id:ID product_sk:ID ordered_qty:INTEGER",
+    "gold.dim_customers": (
+        ("customer_sk", "ID"), ("customer_id", "ID"), ("canonical_customer_id", "ID"),
+        ("email", "VARCHAR"),
+    ),
+    "gold.dim_products": (
+        ("product_sk", "ID"), ("product_id", "ID"), ("sku", "VARCHAR"),
+        ("product_name", "VARCHAR"),
+    ),
+    "gold.fact_orders": (
+        ("order_sk", "ID"), ("order_id", "ID"), ("customer_sk", "ID"),
+        ("order_date_key", "INTEGER"), ("currency", "VARCHAR"), ("total_amount", "DECIMAL(18,2)"),
+        ("total_amount_usd", "DECIMAL(18,2)"),
+    ),
+    "gold.fact_order_items": (
+        ("order_item_sk", "ID"), ("order_sk", "ID"), ("product_sk", "ID"),
+        ("quantity", "INTEGER"), ("unit_price", "DECIMAL(18,2)"), ("line_total", "DECIMAL(18,2)"),
+    ),
+    "gold.fact_payments": (
+        ("payment_sk", "ID"), ("transaction_id", "VARCHAR"), ("order_sk", "ID"),
+        ("currency", "VARCHAR"), ("gross_amount", "DECIMAL(18,2)"),
+    ),
+    "gold.fact_inventory_daily": (
+        ("inventory_sk", "ID"), ("snapshot_date_key", "INTEGER"), ("product_sk", "ID"),
+        ("on_hand_qty", "INTEGER"),
+    ),
+    "gold.fact_campaign_performance": (
+        ("campaign_perf_sk", "ID"), ("campaign_date_key", "INTEGER"), ("platform", "VARCHAR"),
+        ("impressions", "INTEGER"),
+    ),
+    "gold.fact_email_engagement": (
+        ("email_sk", "ID"), ("send_date_key", "INTEGER"), ("customer_sk", "ID"),
+        ("delivery_status", "VARCHAR"),
+    ),
+    "gold.fact_purchase_orders": (
+        ("po_sk", "ID"), ("po_id", "ID"), ("product_sk", "ID"), ("ordered_qty", "INTEGER"),
+    ),
 }
 
 UNIQUE = {
-    "gold.fact_orders": "order_id order_sk",
-    "gold.fact_order_items": "order_item_id order_item_sk",
-    "gold.fact_payments": "transaction_id payment_sk",
-    "gold.fact_campaign_performance": "campaign_perf_sk",
-    "gold.fact_email_engagement": "email_sk",
-    "gold.fact_purchase_orders": "po_id po_sk",
-    "gold.fact_inventory_daily": "inventory_sk",
-    "gold.dim_customers": "customer_sk",
-    "gold.dim_products": "product_sk",
-    "silver.stg_orders": "order_id",
-    "silver.stg_order_items": "order_item_id",
-    "silver.stg_payment_transactions": "transaction_id",
+    "gold.fact_orders": ("order_id", "order_sk"),
+    "gold.fact_order_items": ("order_item_id", "order_item_sk"),
+    "gold.fact_payments": ("transaction_id", "payment_sk"),
+    "gold.fact_campaign_performance": ("campaign_perf_sk",),
+    "gold.fact_email_engagement": ("email_sk",),
+    "gold.fact_purchase_orders": ("po_id", "po_sk"),
+    "gold.fact_inventory_daily": ("inventory_sk",),
+    "gold.dim_customers": ("customer_sk",),
+    "gold.dim_products": ("product_sk",),
+    "silver.stg_orders": ("order_id",),
+    "silver.stg_order_items": ("order_item_id",),
+    "silver.stg_payment_transactions": ("transaction_id",),
 }
 
-# Child column -> parent column.
+# Child column, parent table, parent column.
 REFERENCES = {
-    "gold.fact_orders": "customer_sk>gold.dim_customers.customer_sk"
-    " order_date_key>gold.dim_date.date_key",
-    "gold.fact_order_items": "order_sk>gold.fact_orders.order_sk"
-    " product_sk>gold.dim_products.product_sk",
-    "gold.fact_payments": "order_sk>gold.fact_orders.order_sk"
-    " payment_date_key>gold.dim_date.date_key",
-    "gold.fact_inventory_daily": "product_sk>gold.dim_products.product_sk"
-    " snapshot_date_key>gold.dim_date.date_key",
-    "gold.fact_campaign_performance": "campaign_date_key>gold.dim_date.date_key",
-    "gold.fact_email_engagement": "customer_sk>gold.dim_customers.customer_sk"
-    " send_date_key>gold.dim_date.date_key",
-    "gold.fact_purchase_orders": "product_sk>gold.dim_products.product_sk"
-    " created_date_key>gold.dim_date.date_key",
+    "gold.fact_orders": (
+        ("customer_sk", "gold.dim_customers", "customer_sk"),
+        ("order_date_key", "gold.dim_date", "date_key"),
+    ),
+    "gold.fact_order_items": (
+        ("order_sk", "gold.fact_orders", "order_sk"),
+        ("product_sk", "gold.dim_products", "product_sk"),
+    ),
+    "gold.fact_payments": (
+        ("order_sk", "gold.fact_orders", "order_sk"),
+        ("payment_date_key", "gold.dim_date", "date_key"),
+    ),
+    "gold.fact_inventory_daily": (
+        ("product_sk", "gold.dim_products", "product_sk"),
+        ("snapshot_date_key", "gold.dim_date", "date_key"),
+    ),
+    "gold.fact_campaign_performance": (("campaign_date_key", "gold.dim_date", "date_key"),),
+    "gold.fact_email_engagement": (
+        ("customer_sk", "gold.dim_customers", "customer_sk"),
+        ("send_date_key", "gold.dim_date", "date_key"),
+    ),
+    "gold.fact_purchase_orders": (
+        ("product_sk", "gold.dim_products", "product_sk"),
+        ("created_date_key", "gold.dim_date", "date_key"),
+    ),
 }
 
 
@@ -131,10 +172,10 @@ ROW_RULES = (
 )
 
 NON_NEGATIVE = {
-    "gold.fact_orders": "total_amount total_amount_usd",
-    "gold.fact_order_items": "unit_price",
-    "gold.fact_payments": "gross_amount",
-    "gold.fact_inventory_daily": "inventory_value",
+    "gold.fact_orders": ("total_amount", "total_amount_usd"),
+    "gold.fact_order_items": ("unit_price",),
+    "gold.fact_payments": ("gross_amount",),
+    "gold.fact_inventory_daily": ("inventory_value",),
 }
 
 
@@ -143,13 +184,13 @@ def row_rules() -> list[RowRule]:
     required = [
         RowRule(f"null_{table}.{c}", "null", table, f"{c} NOT NULL", f"`{c}` IS NULL")
         for table, columns in REQUIRED.items()
-        for c in columns.split()
+        for c in columns
     ]
     signs = [
         RowRule(
             f"arith_nonneg_{table}.{c}", "arithmetic", table, f"{c} >= 0", f"`{c}` < 0"
         )
         for table, columns in NON_NEGATIVE.items()
-        for c in columns.split()
+        for c in columns
     ]
     return [*required, *ROW_RULES, *signs]

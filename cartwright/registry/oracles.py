@@ -557,13 +557,12 @@ _DUPLICATES = [
         "CASE WHEN n > 0 THEN concat(total, ' total, ', different, ' distinct') ELSE '' END",
     )
     for t, columns in specs.UNIQUE.items()
-    for c in columns.split()
+    for c in columns
 ]
 _REFERENCES = []
 for _child, _links in specs.REFERENCES.items():
-    for _link in _links.split():
-        _column, _target = _link.split(">")
-        _parent, _key = _target.rsplit(".", 1)
+    for _column, _parent, _key in _links:
+        _target = f"{_parent}.{_key}"
         _REFERENCES.append(
             _check(
                 f"fk_{_child}.{_column}__{_target}",
