@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import curriculum, decontaminate, line_dedup, ngram_join, quality
+from cartwright.llm.common import WORD
 from cartwright.llm.queries import GOOD_FROM, quality_model, table
 from cartwright.sources.scratch import Scratch
 
@@ -25,9 +26,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that several documents hold stay in the first one only."""
+    """Lines that several documents hold stay in the first one only; a document of which nothing
+    is left, as an exact copy, goes.
+    """
     kept = line_dedup.dedup_lines(docs.select(*COLUMNS))
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(WORD)
+    return kept.filter(~emptied).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
