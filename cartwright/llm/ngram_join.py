@@ -50,7 +50,7 @@ CLASSES = 128  # of the suffix filter
 PARITIES = 512
 NO_ID = (1 << 63) - 1
 _STRETCH = 1 << 14
-_CACHED = 500_000
+_CACHED = 150_000
 
 
 class _Words(dict):
@@ -91,6 +91,13 @@ def shingles(raw: bytes | None, n: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
@@ -105,7 +112,7 @@ def _levels(texts: DataFrame, n: int) -> bytes:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.uint32)
-        for batch in batches:
+        for batch in _slices(batches):
             for raw in batch.column(0).to_pylist():
                 np.add.at(counts, _cell(shingles(raw, n)), np.uint32(1))
         for k, part in enumerate(counts.reshape(-1, _STRETCH)):
@@ -138,7 +145,7 @@ def _features(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of = np.frombuffer(levels.value, np.uint8)
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = shingles(raw, n)
@@ -228,7 +235,7 @@ def _verified(
     needed = texts.sparkSession.sparkContext.broadcast(seen_twice(hashed, hashes, bits, once=True))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             wanted = contains(needed.value, hashes(batch.select([2])))
             batch = batch.filter(pa.array(wanted))
             sets = [shingles(raw, n) for raw in batch.column(1).to_pylist()]

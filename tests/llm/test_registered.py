@@ -116,12 +116,12 @@ def test_pipeline_takes_out_what_each_stage_is_for(spark, tmp_path):
         kept[n] = {r["doc_id"]: r for r in docs.collect()}
     good = {i for i in range(300) if i % 5 != 4}
     assert len(good - set(kept[0])) <= 2 and len(set(kept[0]) & set(range(300)) - good) <= 4
-    assert set(kept[1]) == set(kept[0])
+    # 50 loses all its lines to 40.
+    assert set(kept[1]) == set(kept[0]) - {50}
     assert [shared in kept[1][i]["text"] for i in (10, 21, 33)] == [True, False, False]
     assert kept[1][21]["n_chars"] == len(kept[1][21]["text"])
-    # 50 lost all its lines to 40; 61 lost those it shares with 60 and is no copy any more.
-    assert kept[1][50]["text"] == ""
-    assert set(kept[1]) - set(kept[2]) <= {50, 61}
+    # 61 lost the lines it shares with 60, and is no copy any more.
+    assert set(kept[1]) == set(kept[2])
     assert set(kept[2]) - set(kept[3]) == {71}
     taken = [r for r in kept[4].values()]
     assert taken and all(0 < r["taken"] <= 3 * r["size"] for r in taken) and set(kept[4]) <= set(kept[3])
