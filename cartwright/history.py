@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,15 @@ def failure_log(tasks: DataFrame) -> DataFrame:
     )
 
 
-def append_task_history(tasks: DataFrame, folder: str) -> None:
-    """Append to ``folder/tasks``, and what failed to ``folder/failures``."""
-    task_history(tasks).write.mode("append").parquet(f"{folder}/tasks")
-    failure_log(tasks).write.mode("append").parquet(f"{folder}/failures")
+def append_task_history(tasks: DataFrame, folder: str, written_at: datetime | None = None) -> None:
+    """Append to ``folder/tasks``, and what failed to ``folder/failures``.
+
+    ``written_at`` is kept as ``run_ts`` of the tasks and ``failure_ts`` of the failures.
+    """
+    stamp = F.lit(written_at or datetime.now(timezone.utc))
+    task_history(tasks).withColumn("run_ts", stamp).write.mode("append").parquet(f"{folder}/tasks")
+    failures = failure_log(tasks).withColumn("failure_ts", stamp)
+    failures.write.mode("append").parquet(f"{folder}/failures")
 
 
 def run_history(tasks: DataFrame) -> DataFrame:

@@ -343,6 +343,20 @@ _add(
         'said "' || campaign_id || '", twice' AS batch_note
     FROM b_email_sends""",
 )
+_SENDS_SIGNATURE = (
+    "send_date:datetime64[ns]|campaign_id:object|campaign_name:object|recipient_email:object|customer_id:int64"
+    "|delivery_status:object|open_flag:bool|click_flag:bool|unsubscribe_flag:bool|load_filename:object"
+    "|loaded_at:datetime64[ns]"
+)
+_add(
+    "ingest_log",
+    f"""SELECT 'r1' AS run_id, 'marketing' AS source, 'email_sends' AS entity, 'success' AS status,
+        (SELECT count(*) FROM b_email_sends) AS rows_ingested, (SELECT count(*) FROM b_email_sends) AS landed,
+        left(sha256('{_SENDS_SIGNATURE}'), 16) AS schema_hash,
+        '{",".join(part.split(":")[0] for part in _SENDS_SIGNATURE.split("|"))}' AS schema_columns,
+        false AS has_error, true AS timed
+    UNION ALL SELECT 'r1', 'inventory', 'purchase_orders', 'failed', 0, 0, '', '', true, true""",
+)
 _add(
     "json_extract_typed",
     """SELECT *, CASE WHEN order_id % 100 = 1 THEN 'v' || order_id END AS voucher
@@ -604,6 +618,13 @@ _SCHEMA = [
 ]
 _add("dq_nulls", _union(_NULLS))
 _add("dq_arithmetic", _union(_ARITHMETIC))
+_add(
+    "report_roundtrip",
+    f"""WITH checks AS ({_union(_ARITHMETIC)})
+    SELECT *, 'r2' AS run_id, (SELECT count(*) FROM checks)::VARCHAR AS total,
+        (SELECT count(*) FROM checks WHERE passed)::VARCHAR AS n_passed,
+        (SELECT count(*) FROM checks WHERE NOT passed)::VARCHAR AS n_failed FROM checks""",
+)
 _add("dq_nonnegative", _union(s for k, s in _ROWS.items() if k.startswith("arith_nonneg_")))
 _add("dq_duplicates", _union(_DUPLICATES))
 _add("dq_references", _union(_REFERENCES))

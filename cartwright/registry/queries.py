@@ -13,7 +13,7 @@ from cartwright.operators import dense_key
 from cartwright.plans import dims
 from cartwright.plans.metrics import attributed_revenue
 from cartwright.plans.warehouse import GOLD, KEYED, LAYERS, missing_tables, table_stats
-from cartwright.quality import Checks, latest_failures, summary
+from cartwright.quality import Checks, append_report, latest_failures, summary
 from cartwright.registry.roles import ID_TYPE, KEPT_PARENTS, TURNED_AMOUNTS, role, shop, turned
 from cartwright.sources import landing, loads, profile
 from cartwright.sources.entities import BY_TABLE, ENTITIES
@@ -115,6 +115,35 @@ def _wall_clock(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def _sends_as_csv(texts: DataFrame) -> str:
+    path = f"{Scratch(texts.sparkSession).path}/sends.csv"
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.options(header=True, escape='"', **plain).csv(path)
+    return path
+
+
+@query
+def ingest_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The load log of two extracts, one of which is missing, and the rows landed."""
+    sends = role(spark, folder, "email_sends").withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+    path, root = _sends_as_csv(sends), Scratch(spark).path
+    files = {"marketing/email_sends": path, "inventory/purchase_orders": f"{root}/nowhere.csv"}
+    log = loads.ingest(spark, files, root, "2024-01-15", run_id="r1")
+    landed = landing.read_landed(spark, root, BY_TABLE["email_sends"]).groupBy("dt").agg(F.count(F.lit(1)).alias("landed"))
+    return log.join(landed, F.col("raw_path").endswith(F.concat(F.lit("dt="), F.col("dt"))), "left").select(
+        "run_id",
+        "source",
+        "entity",
+        "status",
+        "rows_ingested",
+        F.coalesce("landed", F.lit(0)).alias("landed"),
+        "schema_hash",
+        "schema_columns",
+        (F.col("error_message") != "").alias("has_error"),
+        (F.col("completed_at") >= F.col("started_at")).alias("timed"),
+    )
+
+
 @query
 def csv_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
     """The sends written as CSV text and read as an extract is.
@@ -130,10 +159,7 @@ def csv_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
         .withColumn("batch note", F.concat(F.lit('said "'), F.col("campaign_id"), F.lit('", twice')))
     )
-    path = f"{Scratch(spark).path}/sends.csv"
-    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    texts.write.options(header=True, escape='"', **plain).csv(path)
-    read = read_entity(spark, BY_TABLE["email_sends"], path)
+    read = read_entity(spark, BY_TABLE["email_sends"], _sends_as_csv(texts))
     return read.withColumn("loaded_at", _wall_clock(F.col("loaded_at"))).withColumnRenamed("batch note", "batch_note")
 
 
@@ -379,6 +405,17 @@ def dq_nonnegative(spark: SparkSession, folder: str) -> DataFrame:
     return _checks(spark, folder, *_AMOUNTS).non_negative()
 
 
+@query
+def report_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Two reports written and read back: the newer one's checks with its stored totals."""
+    checks, target = _checks(spark, folder, *_AMOUNTS).arithmetic(), Scratch(spark).path
+    append_report(checks.where("passed"), target, "r1")
+    append_report(checks, target, "r2")
+    rows = spark.read.schema(checks.schema.add("run_id", "string")).json(f"{target}/checks")
+    totals = spark.read.option("header", True).csv(f"{target}/history").drop("run_ts")
+    return rows.where("run_id = 'r2'").join(totals.withColumnsRenamed({"passed": "n_passed", "failed": "n_failed"}), "run_id")
+
+
 @query
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     """All checks, totalled per category."""

@@ -41,7 +41,9 @@ def test_failures_and_appending(spark, tmp_path):
     for _ in range(2):
         history.append_task_history(tasks(spark), str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/tasks").count() == 8
-    assert spark.read.parquet(f"{tmp_path}/failures").count() == 2
+    failures = spark.read.parquet(f"{tmp_path}/failures")
+    assert failures.count() == 2 and failures.where("failure_ts IS NULL").count() == 0
+    assert "run_ts" in spark.read.parquet(f"{tmp_path}/tasks").columns
 
 
 def volumes(spark, rows):
