@@ -12,8 +12,8 @@ Candidates. Two sets with a similarity of t share one of their first |x| - ceil(
 goes on if its sizes allow t (length filter), and if what lies before and behind the
 shared element in both lists is enough (positional filter), and if the counts of the elements by
 hash class, whose smaller ones bound the overlap, are enough (suffix filter; where lists are compared
-with themselves, the counts' parities are compared within the join already: every class of
-different parity holds an element that only one set has). Each pair is
+with themselves, a pair meets on the first element that both prefixes have only, and the counts'
+parities are compared within the join already: every class of different parity holds an element that only one set has). Each pair is
 then verified once, on whole sets made again from the texts.
 
 Large groups. Comparing all members of a list with each other would take the square of its
@@ -180,6 +180,13 @@ def _may_be_alike(a: str, b: str, num: int, den: int) -> Column:
     return (na * den >= nb * num) & (nb * den >= na * num) & (most * (num + den) >= (na + nb) * num)
 
 
+def _first_shared_allows(a: str, b: str, num: int, den: int) -> Column:
+    """Length and positional filter of two rows on the first element that both sets have."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    most = 1 + F.least(F.col(f"{a}.rest"), F.col(f"{b}.rest"))
+    return (na * den >= nb * num) & (nb * den >= na * num) & (most * (num + den) >= (na + nb) * num)
+
+
 def _parities_allow(a: str, b: str, num: int, den: int) -> Column:
     """At least one element that only one set has for each class of different parity."""
     n = F.col(f"{a}.n") + F.col(f"{b}.n")
@@ -303,8 +310,10 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
         F.max_by("component", F.col("members")).alias("largest"), F.count("*").alias("parts")
     )
     mixed = scratch.stage(mixed.filter("parts > 1").drop("parts"), "mixed-lists")
-    rest = labelled.join(mixed, "token").join(first.select("doc", "n", "parities"), ["doc", "n"])
-    rest = scratch.stage(rest, "mixed-postings")
+    rest = labelled.join(mixed, "token").join(first.select("doc", "n", "prefix", "parities"), ["doc", "n"])
+    place = (F.col("n") - F.col("rest") - 1).cast("int")
+    rest = rest.filter(F.get("prefix", place) == F.col("token")).withColumn("before", F.slice("prefix", F.lit(1), place))
+    rest = scratch.stage(rest.drop("prefix"), "mixed-postings")
     one, other = rest.filter("component <> largest").alias("x"), rest.alias("y")
     apart = (
         (F.col("x.token") == F.col("y.token"))
@@ -312,8 +321,10 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
         & (F.col("x.doc") != F.col("x.hub"))
         & (F.col("y.doc") != F.col("y.hub"))
     )
+    # A pair meets on the first element that both prefixes have, and on no other.
+    first_shared = ~F.arrays_overlap("x.before", "y.before")
     more = one.join(
-        other, apart & _may_be_alike("x", "y", num, den) & _parities_allow("x", "y", num, den)
+        other, apart & _first_shared_allows("x", "y", num, den) & _parities_allow("x", "y", num, den) & first_shared
     ).select(
         F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
     )
