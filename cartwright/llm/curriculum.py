@@ -11,7 +11,9 @@
    target covers of them is taken. The last document of a source may be taken in part, so
    that the words taken are the target, rounded.
 4. The running total is turned into a training position by inverting the source's cumulative
-   demand, and the documents are range-sorted by the position of their first copy.
+   demand: copy e of a document stands where the source's stream is at the document's start and
+   e times the source's size. ``mix`` has one row a document, range-sorted by the position of its
+   first copy; ``in_training_order`` has one row for each copy, range-sorted by the copy's own position.
 
 Running totals never need a whole source in one task: a source's order is cut into stretches of the hash, totals
 run within stretches, and the stretches' sums are added up (a few thousand rows a source).
@@ -112,17 +114,50 @@ def _position(offset: Column) -> Column:
     return phase["since"] + inside * (phase["until"] - phase["since"])
 
 
+RESULTS = ("size", "source_size", "target", "taken", "copies", "position", "positions")
+
+
 def mix(
     documents: DataFrame,
     schedule: DataFrame | None = None,
     cap: int = CAP,
     seed: str = "mix",
 ) -> DataFrame:
-    """``documents`` (doc_id, text, source, ...) with size, source_size, target, taken, copies and position
-    (null where nothing is taken), range-sorted by position.
+    """``documents`` (doc_id, text, source, ...) with size, source_size, target, taken, copies, position
+    (of the first copy, null where nothing is taken) and positions (of every copy), range-sorted by position.
 
     ``schedule`` has (source, until, weight); without it the weights rotate through 1, 2, 3.
     """
+    taken, kept = _taken(documents, schedule, cap, seed)
+    return taken.orderBy(F.col("position").asc_nulls_last(), "_tag").select(*kept, *RESULTS)
+
+
+def in_training_order(
+    documents: DataFrame,
+    schedule: DataFrame | None = None,
+    cap: int = CAP,
+    seed: str = "mix",
+) -> DataFrame:
+    """One row for each copy of which words are taken, range-sorted by the copy's position.
+
+    Columns as in ``mix``, where taken and copies are the document's; position is the copy's own. Added
+    are copy (from 1) and copy_taken, the words taken of this copy. Sums over copies: copy_taken.
+    """
+    taken, kept = _taken(documents, schedule, cap, seed)
+    kept = [c for c in kept if c not in ("copy", "copy_taken")]
+    whole = [c for c in RESULTS if c not in ("position", "positions")]
+    each = taken.select(*kept, *whole, "_tag", F.posexplode("positions").alias("_copy", "position"))
+    # All copies but a document's last are whole.
+    words = F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("_copy"))
+    return each.orderBy("position", "_tag").select(
+        *kept, *whole, (F.col("_copy") + 1).alias("copy"), words.alias("copy_taken"), "position"
+    )
+
+
+def _taken(
+    documents: DataFrame, schedule: DataFrame | None, cap: int, seed: str
+) -> tuple[DataFrame, list[str]]:
+    """The unsorted mix with _tag, and the documents' columns that it keeps."""
     spark = documents.sparkSession
     words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0)).cast("bigint")
     words = F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(words)
@@ -157,6 +192,7 @@ def mix(
         )
         for e in range(cap)
     ]
+    places = [F.when(c > 0, _position(start + F.col("source_size") * e)) for e, c in enumerate(copies)]
     clashing = {"source_size", "target", "phases", "demand"} & set(documents.columns)
     taken = (
         sized.drop(*clashing)
@@ -165,9 +201,7 @@ def mix(
         .withColumn("taken", sum(copies[1:], copies[0]))
         .withColumn("copies", sum(((c > 0).cast("int") for c in copies[1:]), (copies[0] > 0).cast("int")))
         .withColumn("position", F.when(F.col("taken") > 0, _position(start)))
+        .withColumn("positions", F.array_compact(F.array(*places)))
     )
-    kept = [c for c in documents.columns if c not in {"size", "source_size", "target", "taken", "copies", "position"}]
     # Every stretch has its sum, so the inner join loses no row.
-    return taken.orderBy(F.col("position").asc_nulls_last(), "_tag").select(
-        *kept, "size", "source_size", "target", "taken", "copies", "position"
-    )
+    return taken, [c for c in documents.columns if c not in RESULTS]

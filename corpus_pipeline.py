@@ -1,9 +1,9 @@
 """From raw documents to a training mix, in five stages.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all that the stage before kept. All but
-the last return the columns of documents; the last one returns the manifest of the mix: the
-documents that are taken, in the order of training, without their texts (which the table
-before holds under the same doc_id).
+the last return the columns of documents; the last one returns the manifest of the mix: one row
+for each copy of a document that is taken, in the order of training, without the texts (which the
+table before holds under the same doc_id).
 """
 
 from __future__ import annotations
@@ -48,10 +48,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The manifest of the mix, in the order of training."""
-    mixed = curriculum.mix(docs.select(*COLUMNS))
-    return mixed.filter("taken > 0").select(
-        "doc_id", "lang", "source", "n_chars", "size", "source_size", "target", "taken", "copies", "position"
+    """The manifest of the mix, one row a copy, in the order of training."""
+    return curriculum.in_training_order(docs.select(*COLUMNS)).select(
+        "doc_id", "lang", "source", "n_chars", "size", "source_size", "target", "taken", "copies", "copy", "copy_taken", "position"
     )
 
 

@@ -191,6 +191,46 @@ def test_schedule_moves_a_source_to_its_phase(spark):
     assert sum(r["source"] == "early" for r in first) == pytest.approx(150, abs=2)
 
 
+def test_every_copy_has_its_place_in_training(spark):
+    # "small" is asked for half of all words and stops at three copies; the weights hold all the way.
+    rows = [(i, _words(10), "small" if i % 10 == 0 else "large") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    schedule = spark.createDataFrame([("large", 1.0, 1.0), ("small", 1.0, 1.0)], "source string, until double, weight double")
+    documents = {r["doc_id"]: r for r in curriculum.mix(df, schedule).collect()}
+    order = curriculum.in_training_order(df, schedule).collect()
+    assert [r["position"] for r in order] == sorted(r["position"] for r in order)
+    assert len(order) == sum(r["copies"] for r in documents.values()) and len(documents) == len(rows)
+    for i, d in documents.items():
+        own = sorted((r for r in order if r["doc_id"] == i), key=lambda r: r["copy"]) if i < 100 else []
+        assert len(d["positions"]) == d["copies"] and d["position"] == (d["positions"] or [None])[0]
+        if own:
+            assert [r["copy"] for r in own] == list(range(1, d["copies"] + 1))
+            assert [r["position"] for r in own] == d["positions"] and sum(r["copy_taken"] for r in own) == d["taken"]
+    copies = [r for r in order if r["source"] == "small"]
+    assert len(copies) == 300 and sum(r["copy_taken"] for r in copies) == 3000
+    for third in range(3):
+        inside = [r for r in copies if third / 3 <= r["position"] < (third + 1) / 3]
+        assert len(inside) == pytest.approx(100, abs=1) and {r["copy"] for r in inside} <= {third + 1, third + 2, third}
+    # By hand: copy e stands where the stream is at start + e * size of the source.
+    for r in copies:
+        assert r["position"] == pytest.approx(documents[r["doc_id"]]["position"] + (r["copy"] - 1) / 3)
+
+
+def test_copies_follow_the_phases_and_the_last_one_is_cut(spark):
+    rows = [(1, _words(10), "a"), (2, _words(15), "b"), (3, _words(5), "b"), (4, None, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copy", F.lit("x"))
+    schedule = spark.createDataFrame(
+        [("a", 0.5, 1.0), ("a", 1.0, 3.0), ("b", 0.5, 1.0), ("b", 1.0, 1.0)], "source string, until double, weight double"
+    )
+    order = curriculum.in_training_order(df, schedule).collect()
+    # 30 words, of which a has 1/4 + 3/8 = 5/8: 18.75 of its 10, rounded.
+    own = [r for r in order if r["source"] == "a"]
+    assert [(r["copy"], r["copies"], r["taken"], r["copy_taken"]) for r in own] == [(1, 2, 19, 10), (2, 2, 19, 9)]
+    # The second copy begins at 10 / 18.75 = 8/15 of a's demand of 5/8: 1/3, that is 1/12 behind the first phase's 1/4.
+    assert own[0]["position"] == 0.0 and own[1]["position"] == pytest.approx(0.5 + (1 / 3 - 1 / 4) / (3 / 8) * 0.5)
+    assert curriculum.in_training_order(df.limit(0), schedule).collect() == []
+
+
 def test_mix_edges(spark):
     assert _mixed(spark, []) == []
     rows = [(1, None, "a"), (2, "", "a"), (3, _words(30_000), "b"), (3, _words(5), None), (3, _words(5), None), (None, "x", "b")]
