@@ -1,11 +1,15 @@
 """Winnowing: a document's fingerprint is the smallest k-gram hash of every window.
 
-A text is cut into words (``[^\\x20\\x09-\\x0D]``, longer than 12 code points in pieces of 12). The
+A text is cut into words (``[^\\x20\\x09-\\x0D]``, longer than 12 code points in pieces of 12). Where
+blanks do not part words, overlapping pieces stand for them, one from each code point on, so that no phase
+decides a match: of 4 code points in Chinese and Japanese script, of 12 in Thai, Lao, Khmer, Burmese and Tibetan
+script and in runs of other scripts longer than 64. Such a script's run also ends where its script does. The
 hash of k consecutive words is composed from the hashes of shorter grams, as in a rolling
 polynomial: hash(ab) = hash(a) * base^len(b) + hash(b), modulo 2^31 - 1. From every ``window``
 consecutive k-gram hashes the smallest is selected, the rightmost one on a tie, with its position.
 So two texts that share k + window - 1 words in a row share a selected hash, and no match
-shorter than k words is found.
+shorter than k words is found. In a run without blanks these are k + window + 2 code points (pieces of 4)
+or k + window + 10 (pieces of 12); a run of another script counts as such only if it is long in both texts.
 
 Everything is built-in array functions: the window minimum comes from minima over half as many
 places, so a pass costs the same whatever ``window`` is.
@@ -27,6 +31,11 @@ from cartwright.llm.common import fresh, shuffle_partitions
 K, WINDOW = 3, 4
 PRIME, BASE = (1 << 31) - 1, 1_000_003
 PIECE = r"[^\x20\x09-\x0D]{1,12}"
+LONG = 64  # A run of more code points is no word, whatever its script.
+_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\x{30FC}\x{FF70}"
+_JOINED = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+_RUN = rf"[{_DENSE}]+|[{_JOINED}]+|[^\x20\x09-\x0D{_DENSE}{_JOINED}]+"
+_UNSPACED = rf"[{_DENSE}{_JOINED}]|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{{LONG + 1}}}"
 _PLACES = 1 << 31
 
 
@@ -61,12 +70,35 @@ def _spread(
     return df, last, [c for c in made.values() if c != first]
 
 
+def _overlapping(run: Column, length: int) -> Column:
+    """The pieces of ``length`` code points of a run, one from each code point on; a shorter run itself."""
+    pieces = F.regexp_extract_all(run, F.lit(f"(?s)(?=(.{{{length}}}))."), F.lit(1))
+    return F.when(F.char_length(run) <= length, F.array(run)).otherwise(pieces)
+
+
+def _pieces(text: Column) -> Column:
+    """What stands for the words of ``text``, which is not null."""
+
+    def of(run: Column) -> Column:
+        joined = run.rlike(f"^[{_JOINED}]") | (F.char_length(run) > LONG)
+        return (
+            F.when(run.rlike(f"^[{_DENSE}]"), _overlapping(run, 4))
+            .when(joined, _overlapping(run, 12))
+            .otherwise(F.regexp_extract_all(run, F.lit(PIECE), F.lit(0)))
+        )
+
+    # Most texts have blanks between words, and need one pass only.
+    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+    spaced = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+    return F.when(text.rlike(_UNSPACED), F.flatten(F.transform(runs, of))).otherwise(spaced)
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str, k: int = K, window: int = WINDOW) -> DataFrame:
     """``df`` with the selected hashes of ``text`` and their positions, packed in one number each:
     hash * 2^31 + (2^31 - 1 - position), in the order of positions.
     """
     words, packed = fresh(df, "_words"), fresh(df, "_packed")
-    pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(PIECE), F.lit(0))
+    pieces = _pieces(F.coalesce(F.col(text), F.lit("")))
     df = df.withColumn(words, F.transform(pieces, lambda w: F.pmod(F.xxhash64(w), F.lit(PRIME))))
     df, grams, made = _spread(df, words, k, lambda x, y, n: (x * pow(BASE, n, PRIME) + y) % PRIME)
     whole = F.array(F.aggregate(F.col(words), F.lit(0).cast("long"), lambda s, x: (s * BASE + x) % PRIME))

@@ -68,6 +68,47 @@ def test_shared_run_of_k_plus_window_words_is_always_found(spark):
     assert fingerprints.with_likeness(df, "x", "y", "like").filter("like = 0").count() == 0
 
 
+#: Alphabet, and the shared code points that are always found.
+_UNSPACED = {
+    "chinese": ([chr(c) for c in range(0x4E00, 0x4F00)], 9),
+    "beyond 16 bits": ([chr(c) for c in range(0x20000, 0x20100)], 9),
+    "japanese": ([chr(c) for c in range(0x3041, 0x3097)] + [chr(c) for c in range(0x30A1, 0x30FB)] + ["\u30fc"], 9),
+    "thai": ([chr(c) for c in range(0x0E01, 0x0E2F)], 17),
+    "blanks lost": (list("abcdefghijklmnopqrstuvwxyz0123456789"), 17),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(_UNSPACED))
+def test_no_phase_decides_a_match_in_runs_without_blanks(spark, kind):
+    rng = random.Random(3)
+    letters, least = _UNSPACED[kind]
+    some = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    rows = []
+    for i in range(30):  # a quoted passage, at another offset
+        shared = some(least)
+        rows.append((i, some(70 + i) + shared + some(5), some(71) + shared + some(9)))
+    long = some(400)
+    rows += [(100, long, some(1) + long), (101, long, long[:50] + some(1) + long[50:]), (102, long, some(400))]
+    df = spark.createDataFrame(rows, "doc_id int, a string, b string")
+    df = fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "x"), "b", "y")
+    like = {r["doc_id"]: r["like"] for r in fingerprints.with_likeness(df, "x", "y", "like").collect()}
+    assert all(like[i] > 0 for i in range(30))
+    assert like[100] > 0.95 and like[101] > 0.85 and like[102] == 0
+
+
+def test_pieces_of_runs_without_blanks(spark):
+    long = "".join(chr(97 + i % 26) for i in range(fingerprints.LONG + 1))
+    cases = {
+        "plain words aninternationalisation": ["plain", "words", "aninternatio", "nalisation"],
+        "in \u4e00\u4e01\u4e02\u4e03\u4e04, v2\u4e00": ["in", "\u4e00\u4e01\u4e02\u4e03", "\u4e01\u4e02\u4e03\u4e04", ",", "v2", "\u4e00"],
+        long[:-1]: [long[i : i + 12] for i in range(0, len(long) - 1, 12)][:5] + [long[60:64]],
+        f"a {long}\tb": ["a", *(long[i : i + 12] for i in range(len(long) - 11)), "b"],
+        "": [],
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string").withColumn("p", fingerprints._pieces(F.col("t")))
+    assert {r["t"]: r["p"] for r in df.collect()} == cases
+
+
 def test_likeness_of_empty_prints(spark):
     df = spark.createDataFrame([("", ""), ("a b c d", ""), ("a b c d", "a b c d")], "a string, b string")
     df = fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "x"), "b", "y")
