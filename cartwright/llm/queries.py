@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
+    alignment,
     chat,
     curriculum,
     decontaminate,
@@ -15,6 +16,8 @@ from cartwright.llm import (
     language,
     line_dedup,
     ngram_join,
+    packing,
+    periodicity,
     quality,
     token_counts,
     url_filter,
@@ -29,6 +32,7 @@ RULES = [
     ("allow", "org", "/fr/"),
 ]
 GOOD_FROM = 0.3
+TOKENIZERS = "/opt/tokenizers"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -123,6 +127,46 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_align(spark: SparkSession, folder: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    linked = alignment.linked_pairs(documents, f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model")
+    return linked.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def with_repetition(documents: DataFrame) -> DataFrame:
+    """In a tenth of the documents the words from some place on become a repetition."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(periodicity.words_of(F.col("text"))).cast("long")
+    start = g % n
+    period = 1 + F.floor((n - start) / (3 + g % 8))
+    edited = periodicity.repeated_from(F.col("text"), start.cast("int"), period.cast("int"))
+    return documents.withColumn("text", F.when((h % 10 == 0) & (n > 0), edited).otherwise(F.col("text")))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = with_repetition(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodicity.with_runs(documents)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("a"), (-r["period"]).alias("b")))
+    )
+    return found.withColumn("_longest", longest).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_longest")["a"]).alias("start"),
+        F.col("_longest")["length"].alias("length"),
+        (-F.col("_longest")["b"]).alias("period"),
+        F.floor(1000 * F.col("_longest")["length"] / -F.col("_longest")["b"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_pack(spark: SparkSession, folder: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(documents, f"{tokenizers}/word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -136,5 +180,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_mix,
         op10_url_filter,
+        op11_align,
+        op12_runs,
+        op13_pack,
     )
 }

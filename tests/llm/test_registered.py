@@ -26,7 +26,7 @@ def sql():
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n for n in names if n.startswith("op")} == set(QUERIES) and len(QUERIES) == 10
+    assert {n for n in names if n.startswith("op")} == set(QUERIES) and len(QUERIES) == 13
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -45,7 +45,8 @@ def test_query_equals_sql(spark, sql, name):
 def test_query_keeps_every_row(spark, sql, name):
     rows = QUERIES[name](spark, FOLDER).collect()
     ids = [i for (i,) in sql.sql("SELECT doc_id FROM documents").fetchall()]
-    assert sorted(r["doc_id"] for r in rows) == sorted(ids)
+    found = [r["doc_id"] for r in rows if name != "op13_pack" or r["piece"] == 0]
+    assert sorted(found) == sorted(ids)
 
 
 @needs_data
