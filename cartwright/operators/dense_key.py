@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.operators.key_ranges import Ranges
 from cartwright.sources.scratch import Scratch
 
 ROW_TAG = "_row_tag"
+#: A range of fewer rows is not worth a task of its own.
+ROWS_OF_A_RANGE = 2_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -30,39 +32,39 @@ def dense_key(
     scratch: Scratch,
     key_type: str = "int",
     order_only: tuple[str, ...] = (),
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Prepend column ``name`` numbering the rows 1..N by ``order_by``, nulls last.
 
-    Columns in ``order_only`` take part in the order and are not kept.
+    Columns in ``order_only`` take part in the order and are not kept. ``narrow`` are rows that have about the values
+    of the order's first column and cost less to compute than ``df``, such as the
+    table it was joined from.
 
-    1. Evaluate the rows once. Range-partition and sort by the order, and by the row tag where there is one, so that
-       a key held by many rows does not end up in one partition.
-    2. Note each row's partition and place in it, and write the result once. The range
-       boundaries come from a sample, so they must not be drawn twice.
+    1. Sketch the first column of the order and cut the order into ranges of about as many rows (``key_ranges``).
+       Only its number is read. A value held by many rows is cut by the next columns, equal rows by the row
+       tag where there is one, so a key with many rows does not end up in one partition.
+    2. Send each row to its range, sort it there, note its range and place, and write the
+       result once. The rows themselves are evaluated once and copied nowhere else.
     3. Count the rows per partition and add up the counts on the driver: one number per
        partition, however many rows there are. A key is then its partition's offset plus its
        place, so the result is a plain scan of the copy without a join.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
-    if ROW_TAG in df.columns:
-        keys.append(F.col(ROW_TAG))
-    order = [k.asc_nulls_last() for k in keys]
+    tag = ROW_TAG if ROW_TAG in df.columns else None
+    rows = (df if narrow is None else narrow).count()
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = Ranges(df, keys, min(most, -(-rows // ROWS_OF_A_RANGE)), narrow, tag)
+    order = [k.asc_nulls_last() for k in (*keys, *([F.col(tag)] if tag else []))]
     place = F.monotonically_increasing_id()
-    # Drawing the range boundaries and the shuffle both read the input: the first keeps the
-    # rows on the executors' disks for the second. A lost executor's part is computed again.
-    kept_rows = df.persist(StorageLevel.DISK_ONLY)
     placed = (
-        kept_rows.repartitionByRange(*order)
+        df.repartitionById(len(ranges.starts) + 1, ranges.of_row())
         .sortWithinPartitions(*order)
         .drop(ROW_TAG, *order_only)
         .withColumn("_place", place)
         .withColumn("_part", F.shiftright("_place", _ROW_BITS).cast("int"))
         .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     )
-    try:
-        staged = scratch.stage(placed, name)
-    finally:
-        kept_rows.unpersist()
+    staged = scratch.stage(placed, name)
     sizes = staged.groupBy("_part").agg((F.max("_place") + 1).alias("_size")).collect()
     by_part = {row["_part"]: row["_size"] for row in sizes}
     ends = accumulate(by_part.get(part, 0) for part in range(max(by_part, default=0) + 1))

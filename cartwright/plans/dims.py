@@ -66,9 +66,9 @@ def dim_customers(
         "canonical_customer_id",
         repeated=F.col("is_duplicate_email"),
     )
-    keyed = dense_key(
-        rows, ["canonical_customer_id", "customer_id"], "customer_sk", scratch, key_type
-    )
+    ids = stg_customers.select(F.col("customer_id").alias("canonical_customer_id"))
+    order = ["canonical_customer_id", "customer_id"]
+    keyed = dense_key(rows, order, "customer_sk", scratch, key_type, narrow=ids)
     return keyed.select(
         "customer_sk",
         "customer_id",

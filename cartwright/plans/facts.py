@@ -39,16 +39,19 @@ def _finish(
     scratch: Scratch,
     key_type: str,
     loaded_at: datetime | None,
+    staged: DataFrame,
 ) -> DataFrame:
     """Number the rows and keep ``columns``.
 
-    Rows equal in ``order_by`` are told apart by their remaining columns.
+    Rows equal in ``order_by`` are told apart by their remaining columns. The ranges of the
+    order's first column come from ``staged``, before anything is joined to it.
     """
     kept = df.select(*columns).columns
     hidden = [c for c in order_by if c not in kept]
     shaped = df.select(*columns, *hidden, ROW_TAG)
     order = order_by + [c for c in kept if c not in order_by]
-    keyed = dense_key(shaped, order, name, scratch, key_type, tuple(hidden))
+    narrow = staged.select(order_by[0]) if order_by[0] in staged.columns else None
+    keyed = dense_key(shaped, order, name, scratch, key_type, tuple(hidden), narrow)
     return keyed.withColumn("_loaded_at", stamp(loaded_at))
 
 
@@ -89,7 +92,7 @@ def fact_orders(
         "has_total_mismatch",
         "updated_at",
     ]
-    return _finish(rows, columns, ["order_id"], "order_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, ["order_id"], "order_sk", scratch, key_type, loaded_at, stg_orders)
 
 
 def fact_order_items(
@@ -127,7 +130,7 @@ def fact_order_items(
         profit.cast("decimal(19,2)").alias("gross_profit"),
         "has_line_total_mismatch",
     ]
-    return _finish(rows, columns, ["order_item_id"], "order_item_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, ["order_item_id"], "order_item_sk", scratch, key_type, loaded_at, stg_order_items)
 
 
 def fact_payments(
@@ -171,7 +174,7 @@ def fact_payments(
         F.col("refund_flag").alias("is_refund"),
         (F.col("status") == "succeeded").alias("is_successful"),
     ]
-    return _finish(rows, columns, ["transaction_id"], "payment_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, ["transaction_id"], "payment_sk", scratch, key_type, loaded_at, stg_payments)
 
 
 def fact_inventory_daily(
@@ -207,7 +210,7 @@ def fact_inventory_daily(
         money(F.col("on_hand_qty") * F.col("unit_cost")).alias("inventory_value"),
     ]
     order = ["snapshot_date", "warehouse_id", "sku"]
-    return _finish(rows, columns, order, "inventory_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, order, "inventory_sk", scratch, key_type, loaded_at, stg_inventory)
 
 
 def fact_campaign_performance(
@@ -242,7 +245,7 @@ def fact_campaign_performance(
         per("reported_revenue", "spend", 2, "roas"),
     ]
     order = ["campaign_date", "campaign_id", "platform", "country_code", "device_type"]
-    return _finish(rows, columns, order, "campaign_perf_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, order, "campaign_perf_sk", scratch, key_type, loaded_at, stg_campaigns)
 
 
 def fact_email_engagement(
@@ -271,7 +274,7 @@ def fact_email_engagement(
         F.col("unsubscribe_flag").alias("is_unsubscribed"),
     ]
     order = ["send_date", "campaign_id", "customer_id"]
-    return _finish(rows, columns, order, "email_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, order, "email_sk", scratch, key_type, loaded_at, stg_sends)
 
 
 def fact_purchase_orders(
@@ -314,4 +317,4 @@ def fact_purchase_orders(
         ratio(F.col("received_qty"), F.col("ordered_qty"), 2).alias("fill_rate"),
         (late & (F.col("po_status") != "received")).alias("is_overdue"),
     ]
-    return _finish(rows, columns, ["po_id"], "po_sk", scratch, key_type, loaded_at)
+    return _finish(rows, columns, ["po_id"], "po_sk", scratch, key_type, loaded_at, stg_purchase_orders)

@@ -1,8 +1,8 @@
 """Run the checks as a few fused aggregates.
 
 Row rules of a table are counted in one scan. The keys of all duplicate checks, and of all
-references, are aggregated map-side and share one shuffle. All results are rows of one
-DataFrame.
+references, become bitmap words where the rows are and share one shuffle; counts of keys are
+taken when a family is asked for. All results are rows of one DataFrame.
 """
 
 from __future__ import annotations
@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.operators.key_words import bit_of, distinct_in, word_of, words
 from cartwright.quality import specs
+from cartwright.sources.scratch import Scratch
 
 RESULT = """check_id string, category string, table_name string, description string,
     passed boolean, failing_rows bigint, details string"""
 ABOUT = ("check_id", "category", "table_name", "description")
 CheckResults = DataFrame
+#: So many orphaned words of 20 bytes are broadcast, more are joined by a shuffle.
+FEW_WORDS = 200_000
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -49,6 +53,14 @@ def _result(
     ]
 
 
+def _number_of(table: DataFrame, column: str) -> tuple[Column, bool]:
+    """A key as a whole number: itself, or a hash of its text."""
+    key = F.col(column)
+    if isinstance(table.schema[column].dataType, T.IntegralType):
+        return key.cast("bigint"), False
+    return F.when(key.isNotNull(), F.xxhash64(key.cast("string"))), True
+
+
 def sql_type(data_type: T.DataType) -> str:
     """Type name as the schema checks write it."""
     names = {
@@ -127,135 +139,180 @@ class Checks:
     # metadata
 
     def schemas(self) -> DataFrame:
-        """Listed columns exist with exactly the listed type; reads no data."""
-        rows = []
-        for name, spec in specs.SCHEMAS.items():
-            actual = {f.name: sql_type(f.dataType) for f in self.table(name).schema}
-            missing, mismatches = [], []
-            for column, wanted in spec:
-                wanted = self.id_type if wanted == "ID" else wanted
-                if column not in actual:
-                    missing.append(column)
-                elif actual[column] != wanted:
-                    mismatches.append(f"{column}: expected {wanted}, got {actual[column]}")
-            details = [f"missing columns: {missing}"] if missing else []
-            details += [f"type mismatches: {mismatches}"] if mismatches else []
-            rows.append(
-                (f"schema_{name}", "schema", name, "Schema matches expected definition",
-                 not details, 0, "; ".join(details))
-            )
-        return self.spark.createDataFrame(rows, RESULT)
+        """Listed columns exist with exactly the listed type; compares columns, reads no rows.
+
+        What is listed is joined with what the stored tables have; the rest is what is wrong.
+        """
+        wanted = [
+            (name, place, column, self.id_type if kind == "ID" else kind)
+            for name, spec in specs.SCHEMAS.items()
+            for place, (column, kind) in enumerate(spec)
+        ]
+        actual = [(n, f.name, sql_type(f.dataType)) for n in specs.SCHEMAS for f in self.table(n).schema]
+        listed = self.spark.createDataFrame(wanted, "table_name string, place int, column string, wanted string")
+        found = self.spark.createDataFrame(actual, "table_name string, column string, got string")
+        # A row for each listed column.
+        compared = listed.join(F.broadcast(found), ["table_name", "column"], "left")
+
+        def all_of(what: str, rows: Column, text: Column) -> Column:
+            picked = F.array_sort(F.collect_list(F.when(rows, F.struct("place", text.alias("text")))))
+            texts = F.array_join(picked["text"], "', '")
+            return F.when(F.size(picked) > 0, F.concat(F.lit(f"{what}: ['"), texts, F.lit("']")))
+
+        differs = F.format_string("%s: expected %s, got %s", "column", "wanted", "got")
+        missing = all_of("missing columns", F.col("got").isNull(), F.col("column"))
+        mismatches = all_of("type mismatches", F.col("got") != F.col("wanted"), differs)
+        judged = compared.groupBy("table_name").agg(F.concat_ws("; ", missing, mismatches).alias("details"))
+        return judged.select(
+            F.concat(F.lit("schema_"), "table_name").alias("check_id"),
+            F.lit("schema").alias("category"),
+            "table_name",
+            F.lit("Schema matches expected definition").alias("description"),
+            (F.col("details") == "").alias("passed"),
+            F.lit(0).cast("bigint").alias("failing_rows"),
+            "details",
+        )
 
     # keys
 
     def duplicates(self) -> DataFrame:
         """Rows beyond the number of distinct non-NULL keys; NULL keys count as duplicates.
 
-        The keys of all checks share one shuffle. Copies of a key meet map-side, so a hot
-        key costs one row per task.
+        The keys of all checks share one shuffle of bitmap words (``key_words``): whole numbers as
+        such, which is exact, keys of any other type by a hash of their text. A hash can only hide
+        that texts differ, so a check whose hashes are all different is done; for the others the
+        texts of the words in question are compared.
         """
-        checks, parts = [], []
+        checks, parts, texts = [], [], []
         for name, columns in specs.UNIQUE.items():
             table = self.table(name)
             keys = []
             for column in columns:
-                number = len(checks)
-                # Whole numbers as such, keys of any other type by their text.
-                text = not isinstance(table.schema[column].dataType, T.IntegralType)
                 about = (f"dup_{name}.{column}", "duplicate", name, f"{column} is unique")
-                checks.append((number, *about))
-                keys.append(
-                    F.struct(
-                        F.lit(number).alias("check_no"),
-                        (F.lit(None) if text else F.col(column)).cast("bigint").alias("number"),
-                        (F.col(column) if text else F.lit(None)).cast("string").alias("text"),
-                    )
-                )
+                key, is_text = _number_of(table, column)
+                if is_text:
+                    texts.append((len(checks), name, column))
+                keys.append(F.struct(F.lit(len(checks)).alias("check_no"), key.alias("key")))
+                checks.append((len(checks), *about))
             parts.append(table.select(F.inline(F.array(*keys))))
-        per_key = (
-            _union(parts).groupBy("check_no", "number", "text").agg(F.count(F.lit(1)).alias("n"))
-        )
-        counts = per_key.groupBy("check_no").agg(
-            F.sum("n").alias("_total"),
-            F.count_if(F.col("number").isNotNull() | F.col("text").isNotNull()).alias("_distinct"),
+        per_check = words(_union(parts), "check_no").groupBy("check_no").agg(
+            F.sum("rows").alias("total"),
+            F.sum(F.when(F.col("word").isNotNull(), F.col("rows"))).alias("present"),
+            F.sum(distinct_in(F.col("bits"))).alias("different"),
         )
         # One row per check.
-        counted = self._check_rows(checks).join(F.broadcast(counts), "check_no", "left")
+        counts = {r["check_no"]: r.asDict() for r in per_check.collect()}
+        unsure = [t for t in texts if t[0] in counts and counts[t[0]]["different"] < (counts[t[0]]["present"] or 0)]
+        for number, name, column in unsure:
+            counts[number]["different"] = counts[number]["present"] - self._repeated_texts(name, column)
+        rows = [(n, c["total"], c["different"]) for n, c in counts.items()]
+        counted = self._check_rows(checks).join(
+            F.broadcast(self.spark.createDataFrame(rows, "check_no int, _total bigint, _distinct bigint")), "check_no", "left"
+        )
         extra = F.coalesce(F.col("_total") - F.col("_distinct"), F.lit(0))
         details = F.when(
             extra > 0, F.format_string("%d total, %d distinct", "_total", "_distinct")
         ).otherwise("")
         return counted.select(*ABOUT, *_outcome(extra, details))
 
+    def _repeated_texts(self, name: str, column: str) -> int:
+        """Rows beyond the different texts; only texts in words with fewer bits than rows are shuffled."""
+        text = F.col(column).cast("string")
+        keys = self.table(name).select(text.alias("text"), F.xxhash64(text).alias("key")).where("text IS NOT NULL")
+        crowded = words(keys).where(F.col("rows") > distinct_in(F.col("bits"))).select("word")
+        suspects = keys.withColumn("word", word_of(F.col("key"))).join(crowded, "word", "left_semi")
+        each = suspects.groupBy("text").agg((F.count(F.lit(1)) - 1).alias("n"))
+        return each.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
     def references(self) -> DataFrame:
         """Child rows whose key the parent lacks; NULL child keys are skipped.
 
-        Child keys are counted map-side first, then all references are compared in one anti
-        join on (parent, key).
+        Keys of children and parents become bitmap words before anything is shuffled
+        (``key_words``); a child's bits that its parent lacks are orphans. Only if there are any,
+        the children are read again to count their rows. Keys that are not whole numbers
+        are compared by an anti join on their text.
         """
-        checks, parents, children = [], {}, []
-
-        def key_of(table: DataFrame, column: str) -> tuple[Column, Column]:
-            """Whole numbers as such, keys of any other type by their text."""
-            key = F.col(column)
-            if isinstance(table.schema[column].dataType, T.IntegralType):
-                return key.cast("bigint").alias("key"), F.lit("").alias("text")
-            return F.when(key.isNotNull(), F.lit(0).cast("bigint")).alias("key"), key.cast("string").alias("text")
-
+        checks, parents, numbers, texts = [], {}, [], []
         for child, links in specs.REFERENCES.items():
-            keys = []
             for column, parent_table, parent_column in links:
                 target = f"{parent_table}.{parent_column}"
-                parent = parents.setdefault(target, len(parents))
-                keys.append(
-                    F.struct(
-                        F.lit(len(checks)).alias("check_no"),
-                        F.lit(parent).alias("parent_no"),
-                        *key_of(self.table(child), column),
-                    )
-                )
+                number, parent = len(checks), parents.setdefault(target, len(parents))
+                kinds = (self.table(child).schema[column], self.parents(parent_table).schema[parent_column])
+                whole = all(isinstance(f.dataType, T.IntegralType) for f in kinds)
+                (numbers if whole else texts).append((number, parent, child, column, parent_table, parent_column))
                 about = (f"fk_{child}.{column}__{target}", "referential", child)
-                checks.append((len(checks), *about, f"{column} → {target}"))
-            children.append(self.table(child).select(F.inline(F.array(*keys))))
-        parent_of = self.spark.sql(
-            "SELECT * FROM VALUES "
-            + ", ".join(
-                f"({number}, {parents[check_id.split('__')[1]]})"
-                for number, check_id, *_ in checks
-            )
-            + " AS t(check_no, parent_no)"
-        )
-        parent_keys = _union(
-            [
-                self.parents(target.rsplit(".", 1)[0]).select(
-                    F.lit(number).alias("parent_no"),
-                    *key_of(self.parents(target.rsplit(".", 1)[0]), target.rsplit(".", 1)[1]),
-                )
-                for target, number in parents.items()
-            ]
-        )
-        lost = (
-            _union(children)
-            .where(F.col("key").isNotNull())
-            .groupBy("check_no", "parent_no", "key", "text")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .join(parent_keys, ["parent_no", "key", "text"], "left_anti")
-            .groupBy("check_no")
-            .agg(F.sum("n").alias("_lost"))
-        )
+                checks.append((number, *about, f"{column} → {target}"))
+        lost = [x for x in (self._lost_numbers(numbers), self._lost_texts(texts)) if x is not None]
+        if not lost:
+            lost = [self.spark.createDataFrame([], "check_no int, _lost bigint")]
         failing = F.coalesce("_lost", F.lit(0))
         # One row per check, and one per parent.
-        result = self._check_rows(checks).join(F.broadcast(lost), "check_no", "left")
+        result = self._check_rows(checks).join(F.broadcast(_union(lost)), "check_no", "left")
         if self.null_parent_passes:
-            nulls = parent_keys.where(F.col("key").isNull()).groupBy("parent_no").agg(
-                F.count(F.lit(1)).alias("_nulls")
+            pairs = [(number, parent) for number, parent, *_ in numbers + texts]
+            parent_of = self.spark.createDataFrame(pairs, "check_no int, parent_no int")
+            nulls = _union(
+                [
+                    self.parents(table).where(F.col(column).isNull()).agg(F.count(F.lit(1)).alias("_nulls"))
+                    .select(F.lit(number).alias("parent_no"), "_nulls")
+                    for target, number in parents.items()
+                    for table, column in [target.rsplit(".", 1)]
+                ]
             )
             result = result.join(F.broadcast(parent_of), "check_no").join(
                 F.broadcast(nulls), "parent_no", "left"
             )
-            failing = F.when(F.col("_nulls").isNotNull(), F.lit(0)).otherwise(failing)
+            failing = F.when(F.col("_nulls") > 0, F.lit(0)).otherwise(failing)
         return result.select(*ABOUT, *_outcome(failing))
 
+    def _children(self, links: list[tuple]) -> DataFrame:
+        """(check_no, parent_no, key) of every child row and link; one scan a child."""
+        by_child: dict[str, list[Column]] = {}
+        for number, parent, child, column, *_ in links:
+            key = F.col(column).cast("bigint").alias("key")
+            by_child.setdefault(child, []).append(
+                F.struct(F.lit(number).alias("check_no"), F.lit(parent).alias("parent_no"), key)
+            )
+        return _union([self.table(c).select(F.inline(F.array(*keys))) for c, keys in by_child.items()]).where("key IS NOT NULL")
+
+    def orphan_words(self, links: list[tuple]) -> DataFrame:
+        """(check_no, word, orphans): bits of child keys that the parent lacks."""
+        of_parent = {parent: (table, column) for _, parent, _, _, table, column in links}
+        keys = [
+            self.parents(table).select(F.lit(parent).alias("parent_no"), F.col(column).cast("bigint").alias("key"))
+            for parent, (table, column) in of_parent.items()
+        ]
+        held = words(_union(keys), "parent_no").select("parent_no", "word", F.col("bits").alias("_held"))
+        used = words(self._children(links), "check_no", "parent_no")
+        orphans = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("_held", F.lit(0))))
+        return used.join(held, ["parent_no", "word"], "left").select("check_no", "word", orphans.alias("orphans")).where("orphans <> 0")
+
+    def _lost_numbers(self, links: list[tuple]) -> DataFrame | None:
+        if not links:
+            return None
+        orphans = Scratch(self.spark).stage(self.orphan_words(links), "orphans")
+        found = {r["check_no"]: r["n"] for r in orphans.groupBy("check_no").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not found:
+            return None
+        if sum(found.values()) <= FEW_WORDS:
+            orphans = F.broadcast(orphans)
+        rows = self._children([x for x in links if x[0] in found]).withColumn("word", word_of(F.col("key")))
+        hit = bit_of(F.col("key")).bitwiseAND(F.col("orphans")) != 0
+        return rows.join(orphans, ["check_no", "word"]).where(hit).groupBy("check_no").agg(F.count(F.lit(1)).alias("_lost"))
+
+    def _lost_texts(self, links: list[tuple]) -> DataFrame | None:
+        if not links:
+            return None
+        lost = []
+        for number, _, child, column, parent_table, parent_column in links:
+            # Counted per text first, so a text of many rows is one row of a task.
+            texts = self.table(child).select(F.col(column).cast("string").alias("key")).where("key IS NOT NULL")
+            each = texts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+            known = self.parents(parent_table).select(F.col(parent_column).cast("string").alias("key"))
+            missing = each.join(known, "key", "left_anti").agg(F.sum("n").alias("_lost"))
+            lost.append(missing.select(F.lit(number).alias("check_no"), "_lost"))
+        return _union(lost)
+
     def _unless_null_parent(self, lost: DataFrame, keys: DataFrame) -> DataFrame:
         """One row: ``lost.n``, or 0 when a NULL key lets everything pass."""
         if not self.null_parent_passes:

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import history
-from cartwright.operators import dense_key
+from cartwright.operators import dense_key, with_row_tag
+from cartwright.operators.dense_key import ROW_TAG
 from cartwright.plans import dims
 from cartwright.plans.metrics import attributed_revenue
 from cartwright.plans.warehouse import GOLD, KEYED, LAYERS, missing_tables, table_stats
-from cartwright.quality import Checks, append_report, latest_failures, summary
+from cartwright.quality import Checks, append_report, latest_failures, specs, summary
 from cartwright.registry.roles import ID_TYPE, KEPT_PARENTS, TURNED_AMOUNTS, role, shop, turned
 from cartwright.sources import landing, loads, profile
 from cartwright.sources.entities import BY_TABLE, ENTITIES
@@ -325,6 +326,22 @@ def dense_key_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return dense_key(items, order, "line_sk", Scratch(spark), ID_TYPE)
 
 
+@query
+def dense_key_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Dense key whose first column has one value in a third of the rows; the next ones are text and dates."""
+    items = with_row_tag(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    rows = items.select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")).alias("group_key"),
+        "l_shipmode",
+        F.col("l_shipdate").cast("date").alias("ship_day"),
+        "l_orderkey",
+        "l_linenumber",
+        ROW_TAG,
+    )
+    order = ["group_key", "l_shipmode", "ship_day", "l_orderkey", "l_linenumber"]
+    return dense_key(rows, order, "row_sk", Scratch(spark), ID_TYPE)
+
+
 # quality
 
 _AMOUNTS = (
@@ -385,6 +402,24 @@ def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return _checks(spark, folder).duplicates()
 
 
+@query
+def dq_duplicates_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Duplicate checks over tables in which every fortieth row is repeated and some keys are missing."""
+    checks = _checks(spark, folder)
+
+    def repeated(name: str) -> DataFrame:
+        table = checks.table(name)
+        if name not in specs.UNIQUE:
+            return table
+        place = F.crc32(F.col(specs.UNIQUE[name][0]).cast("string").cast("binary"))
+        again = table.where(place % 40 == 1)
+        first = specs.UNIQUE[name][0]
+        lost = F.when(place % 40 != 2, F.col(first)).alias(first)
+        return table.select(*[lost if c == first else F.col(c) for c in table.columns]).unionByName(again)
+
+    return Checks(spark, repeated, id_type=ID_TYPE).duplicates()
+
+
 @query
 def dq_references(spark: SparkSession, folder: str) -> DataFrame:
     return _checks(spark, folder).references()
