@@ -1,3 +1,4 @@
+from cartwright.operators.band import within_days
 from cartwright.operators.credit import window_credit
 from cartwright.operators.dense_key import dense_key, with_row_tag
 from cartwright.operators.groups import flag_repeated, group_minimum, keep_latest
@@ -11,4 +12,5 @@ __all__ = [
     "lookup",
     "window_credit",
     "with_row_tag",
+    "within_days",
 ]

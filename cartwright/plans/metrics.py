@@ -24,7 +24,7 @@ def _total(value: Column) -> Column:
     return F.sum(value).cast(MONEY_SUM)
 
 
-def _with_day(fact: DataFrame, dim_date: DataFrame, key: str, name: str) -> DataFrame:
+def with_day(fact: DataFrame, dim_date: DataFrame, key: str, name: str) -> DataFrame:
     """Rows of a dated fact with the calendar day of ``key``; undated rows are dropped."""
     days = dim_date.select(F.col("date_key").alias("_key"), F.col("full_date").alias(name))
     return fact.join(F.broadcast(days), F.col(key) == F.col("_key")).drop("_key")
@@ -118,7 +118,7 @@ def order_conversion_rate(
         _total(usd).alias("total_gmv_usd"),
         _total(F.when(paid, usd).otherwise(_zero())).alias("paid_revenue_usd"),
     )
-    dated = _with_day(per_key, dim_date, "order_date_key", "order_date")
+    dated = with_day(per_key, dim_date, "order_date_key", "order_date")
     total = F.col("total_orders")
     return dated.select(
         "order_date",
@@ -143,13 +143,13 @@ def attributed_revenue(
     There is no last touch: an order counts for every campaign that reached the customer,
     once per send, also when the send bounced. Cancelled orders are left out.
     """
-    sends = _with_day(
+    sends = with_day(
         fact_email.select("campaign_id", "customer_sk", "send_date_key"),
         dim_date,
         "send_date_key",
         "send_day",
     )
-    orders = _with_day(
+    orders = with_day(
         fact_orders.where(~F.col("is_cancelled")).select(
             "order_id", "customer_sk", "order_date_key", "total_amount_usd"
         ),

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.plans import dims, facts, metrics, silver
+from cartwright.plans.publish import Publication
 from cartwright.sources import landing, seeds
 from cartwright.sources.entities import ENTITIES
 from cartwright.sources.scratch import Scratch
 
+# The tables of each layer.
 BRONZE = tuple(entity.table for entity in ENTITIES)
 SILVER = (
     "seed_category_mapping",
@@ -286,27 +288,36 @@ class Warehouse:
         with ThreadPoolExecutor(len(names)) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(action), names))
 
-    def store(self, layers: tuple[str, ...] = tuple(LAYERS)) -> dict[str, DataFrame]:
-        """Replace the catalogue tables of the given layers, in dependency order.
+    def store(self, layers: tuple[str, ...] = tuple(LAYERS), prefix: str = "") -> dict[str, DataFrame]:
+        """Replace the catalogue tables of the given layers, all of them or none.
 
-        Later models read the stored tables. Staging copies are removed at the end.
+        Tables are written beside the published ones in dependency order, later models reading the new
+        copies, and are published together at the end (``publish``). If a model fails, what was
+        written is removed and readers go on with what there was. ``prefix`` is put before the layers' database names.
+        Staging copies are removed at the end.
         """
-        for layer in layers:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-
-            def save(name: str, layer: str = layer) -> None:
-                full_name = f"{layer}.{name}"
-                self.table(name).write.mode("overwrite").format("parquet").saveAsTable(full_name)
-                self._stored[name] = self.spark.table(full_name)
-
-            names = LAYERS[layer]
-            levels = [[n for n in level if n in names] for level in KEY_LEVELS]
-            keyed = {n for level in levels for n in level}
-            metrics_ = [n for n in names if n.startswith("metric_")]
-            plain = [n for n in names if n not in keyed and n not in metrics_]
-            for level in (plain, *levels, metrics_):
-                self._side_by_side(save, level)
-        self.scratch.release()
+        publication, before = Publication(self.spark), dict(self._stored)
+        try:
+            for layer in layers:
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+
+                def save(name: str, layer: str = layer) -> None:
+                    self._stored[name] = publication.write(self.table(name), f"{prefix}{layer}.{name}")
+
+                names = LAYERS[layer]
+                levels = [[n for n in level if n in names] for level in KEY_LEVELS]
+                keyed = {n for level in levels for n in level}
+                metrics_ = [n for n in names if n.startswith("metric_")]
+                plain = [n for n in names if n not in keyed and n not in metrics_]
+                for level in (plain, *levels, metrics_):
+                    self._side_by_side(save, level)
+            publication.publish()
+        except BaseException:
+            self._stored = before
+            publication.discard()
+            raise
+        finally:
+            self.scratch.release()
         return dict(self._stored)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class ChecksFailed(RuntimeError):
@@ -62,6 +64,28 @@ def append_report(
     return this_run
 
 
+def report_runs(spark: SparkSession, folder: str) -> list[str]:
+    """Run ids of the stored reports, from the names of their partitions; no report is read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/checks")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path)]
+    return sorted(unquote(n.removeprefix("run_id=")) for n in names if n.startswith("run_id="))
+
+
+def newest_report(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The checks of the newest stored run: one partition is scanned, however many reports there are.
+
+    ``schema`` are the columns of a report without its run id. Without reports the result is empty.
+    """
+    runs = report_runs(spark, folder)
+    shape = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+    if not runs:
+        return spark.createDataFrame([], shape)
+    return spark.read.schema(shape).json(f"{folder}/checks").where(F.col("run_id") == runs[-1])
+
+
 def latest_failures(reports: DataFrame) -> DataFrame:
     """Failed checks of the newest report, by run id."""
     newest = reports.agg(F.max("run_id").alias("run_id"))  # one row

@@ -17,8 +17,10 @@ from cartwright.registry.roles import (
     FIRST_DAY,
     KEPT_PARENTS,
     LAST_DAY,
+    RETYPED,
     ROLES,
     TURNED_AMOUNTS,
+    repeats,
     role_sql,
     turned,
 )
@@ -362,6 +364,30 @@ _add(
     """SELECT *, CASE WHEN order_id % 100 = 1 THEN 'v' || order_id END AS voucher
     FROM b_payment_transactions""",
 )
+_add("json_array_typed", "SELECT * FROM b_payment_transactions")
+_add(
+    "csv_orders_typed",
+    """SELECT * REPLACE (date_trunc('second', order_date) AS order_date,
+        date_trunc('second', updated_at) AS updated_at) FROM b_orders""",
+)
+_add("csv_inventory_typed", "SELECT * FROM b_inventory_snapshot")
+_add(
+    "bronze_unknown_columns",
+    """WITH sends AS (SELECT 'n' || customer_id % 10 AS other FROM b_email_sends),
+        vouchers AS (
+            SELECT CASE WHEN order_id % 100 = 1 THEN 'v' || order_id END AS other FROM b_payment_transactions),
+        days AS (
+            SELECT * FROM (VALUES ('landed', '2024-01-01', false), ('landed', '2024-01-02', true),
+                ('bronze', '2024-01-02', true)) d(layer, dt, more))
+    SELECT layer, 'email_sends' AS table_name, dt, count(*) AS row_count,
+        count(CASE WHEN more THEN other END) AS filled, count(DISTINCT CASE WHEN more THEN other END) AS different,
+        max(CASE WHEN more THEN other END) AS greatest
+    FROM days, sends GROUP BY ALL
+    UNION ALL
+    SELECT layer, 'payment_transactions', dt, count(*), count(CASE WHEN more THEN other END),
+        count(DISTINCT CASE WHEN more THEN other END), max(CASE WHEN more THEN other END)
+    FROM days, vouchers GROUP BY ALL""",
+)
 _KEYS = ",".join(f.name for e in ENTITIES if e.table == "payment_transactions" for f in e.schema)
 _add(
     "json_extract_drift",
@@ -494,6 +520,7 @@ _add(
     )
     + ") GROUP BY ROLLUP (layer, table_name)",
 )
+ORACLES["stored_tables"] = ORACLES["table_stats"]
 _BUILT = ("dim_date", "dim_customers", "dim_products", "fact_orders")
 _add(
     "missing_tables",
@@ -522,6 +549,21 @@ _add(
     FROM days""",
 )
 _add("campaign_attribution", "SELECT * FROM attributed")
+_add(
+    "attribution_pairs",
+    """SELECT email_sk, order_sk, (placed.full_date - sent.full_date)::INT AS days
+    FROM fact_email_engagement e
+    JOIN calendar sent ON sent.date_key = e.send_date_key
+    JOIN fact_orders o USING (customer_sk)
+    JOIN calendar placed ON placed.date_key = o.order_date_key
+    WHERE o.is_cancelled = false AND placed.full_date - sent.full_date BETWEEN 0 AND 7""",
+)
+_add(
+    "dense_key_hot",
+    """SELECT row_number() OVER (ORDER BY group_key, l_returnflag, ship_day, l_orderkey, l_linenumber) AS row_sk, *
+    FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS group_key, l_returnflag,
+        l_shipdate::DATE AS ship_day, l_orderkey, l_linenumber FROM lineitem)""",
+)
 _add(
     "dense_key_lineitem",
     """SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
@@ -606,15 +648,36 @@ _CURRENCY = [
     ),
     _ROWS["currency_usd_conversion_positive"],
 ]
-_SCHEMA = [
-    _check(
-        f"schema_{t}",
-        "schema",
+
+def _schema(table: str, columns, source: str, details: str | None = None) -> str:
+    """A schema check by the types that DuckDB's own table has, with its rows."""
+    wanted = [(c, "BIGINT" if t == "ID" else t) for c, t in columns]
+    wrong = ", ".join(
+        f"CASE WHEN any_value(typeof({c})) <> '{t}' THEN concat('{c}: expected {t}, got ', any_value(typeof({c}))) END"
+        for c, t in wanted
+    )
+    found = details or (
+        "CASE WHEN len(wrong) > 0 THEN concat('type mismatches: [''',"
+        " array_to_string(wrong, ''', '''), ''']') ELSE '' END"
+    )
+    return (
+        f"SELECT 'schema_{table}' AS check_id, 'schema' AS category, '{table}' AS table_name,"
+        f" 'Schema matches expected definition' AS description, {found} = '' AS passed,"
+        f" 0::BIGINT AS failing_rows, {found} AS details, n AS row_count"
+        f" FROM (SELECT count(*) AS n, list_filter([{wrong}], lambda x: x IS NOT NULL) AS wrong FROM {source})"
+    )
+
+
+_SCHEMA = [_schema(t, columns, _bare(t)) for t, columns in specs.SCHEMAS.items()]
+_RETYPED = ", ".join(f"{c}::{t} AS {c}" for c, t in RETYPED.items())
+_SCHEMA_FAULTS = [
+    _schema(
         t,
-        "Schema matches expected definition",
-        "SELECT 0::BIGINT AS n",
+        [(c, k) for c, k in columns if (t, c) != ("gold.dim_products", "sku")],
+        f"(SELECT * REPLACE ({_RETYPED}) FROM fact_orders)" if t == "gold.fact_orders" else _bare(t),
+        "'missing columns: [''sku'']'" if t == "gold.dim_products" else None,
     )
-    for t in specs.SCHEMAS
+    for t, columns in specs.SCHEMAS.items()
 ]
 _add("dq_nulls", _union(_NULLS))
 _add("dq_arithmetic", _union(_ARITHMETIC))
@@ -648,6 +711,24 @@ def _turned(sql: str) -> str:
 _add("dq_references_orphans", _union(map(_orphaned, _REFERENCES)))
 _add("dq_amount_faults", _union(map(_turned, _ARITHMETIC)))
 _add("dq_schema", _union(_SCHEMA))
+_add("dq_schema_faults", _union(_SCHEMA_FAULTS))
+
+
+def _repeated(name: str, sql: str) -> str:
+    """The same check over the table with repeated rows and lost keys."""
+    key, number = repeats(name)
+    table = _bare(name)
+    rows = (
+        f"(SELECT * REPLACE (CASE WHEN {number} % 40 <> 2 THEN {key} END AS {key}) FROM {table}"
+        f" UNION ALL SELECT * FROM {table} WHERE {number} % 40 = 1)"
+    )
+    return sql.replace(f" FROM {table})", f" FROM {rows})")
+
+
+_add(
+    "dq_duplicates_planted",
+    _union(_repeated(name, sql) for name, sql in zip((t for t, cs in specs.UNIQUE.items() for _ in cs), _DUPLICATES)),
+)
 _add(
     "dq_summary",
     "SELECT category, count(*) AS total, count(*) FILTER (passed) AS passed,"
@@ -701,8 +782,9 @@ _add(
         round_even(count(*) FILTER (passed)::DOUBLE / count(*)::DOUBLE * 100, 0) AS pass_rate_pct
     FROM b_check_reports GROUP BY run_id""",
 )
-_add(
-    "latest_failures",
-    """SELECT * FROM b_check_reports WHERE NOT passed
-        AND run_id = (SELECT max(run_id) FROM b_check_reports)""",
-)
+for _query in ("latest_failures", "newest_report_failures"):
+    _add(
+        _query,
+        """SELECT * FROM b_check_reports WHERE NOT passed
+            AND run_id = (SELECT max(run_id) FROM b_check_reports)""",
+    )

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import history
-from cartwright.operators import dense_key, with_row_tag
+from cartwright.operators import dense_key, with_row_tag, within_days
 from cartwright.operators.dense_key import ROW_TAG
 from cartwright.plans import dims
-from cartwright.plans.metrics import attributed_revenue
+from cartwright.plans.metrics import attributed_revenue, with_day
 from cartwright.plans.warehouse import GOLD, KEYED, LAYERS, missing_tables, table_stats
 from cartwright.quality import Checks, append_report, latest_failures, specs, summary
-from cartwright.registry.roles import ID_TYPE, KEPT_PARENTS, TURNED_AMOUNTS, role, shop, turned
+from cartwright.quality.report import newest_report
+from cartwright.registry.roles import ID_TYPE, KEPT_PARENTS, RETYPED, TURNED_AMOUNTS, repeats, role, shop, turned
 from cartwright.sources import landing, loads, profile
 from cartwright.sources.entities import BY_TABLE, ENTITIES
 from cartwright.sources.files import read_entity, read_text
@@ -184,6 +185,97 @@ def json_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
     return read.withColumn("provider_created_at", _wall_clock(F.col("provider_created_at")))
 
 
+@query
+def json_array_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """The payments as files that each hold one JSON array, as a provider's page dumps do."""
+    payments = role(spark, folder, "payment_transactions").withColumn(
+        "provider_created_at", F.date_format("provider_created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    )
+    page = F.pmod("order_id", F.lit(64))
+    # A page is one array, so it has to fit a row; there are as many as the provider makes.
+    pages = payments.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*payments.columns)).alias("rows"))
+    path = f"{Scratch(spark).path}/pages"
+    pages.select("page", F.to_json("rows").alias("value")).write.partitionBy("page").text(path)
+    read = read_entity(spark, BY_TABLE["payment_transactions"], f"{path}/page=*")
+    return read.withColumn("provider_created_at", _wall_clock(F.col("provider_created_at")))
+
+
+def _csv_extract(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A role written as CSV text and read as an extract is; instants in whole seconds."""
+    rows, entity = role(spark, folder, table), BY_TABLE[table]
+    instants = [f.name for f in entity.schema if f.dataType.typeName() == "timestamp"]
+    texts = rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in instants})
+    path = f"{Scratch(spark).path}/{table}.csv"
+    texts.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_entity(spark, entity, path).withColumns({c: _wall_clock(F.col(c)) for c in instants})
+
+
+@query
+def csv_orders_typed(spark: SparkSession, folder: str) -> DataFrame:
+    return _csv_extract(spark, folder, "orders")
+
+
+@query
+def csv_inventory_typed(spark: SparkSession, folder: str) -> DataFrame:
+    return _csv_extract(spark, folder, "inventory_snapshot")
+
+
+@query
+def bronze_unknown_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of sends and of payments, the second with a column of its own, read back and stored in bronze.
+
+    Each day is listed with its rows and with what the column holds there.
+    """
+    scratch, parts = Scratch(spark), []
+    sends = role(spark, folder, "email_sends").withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+    noted = sends.withColumn("batch note", F.concat(F.lit("n"), F.col("customer_id") % 10))
+    extracts = {
+        "2024-01-01": (_sends_as_csv(sends), _payment_texts(spark, folder, more=False)),
+        "2024-01-02": (_sends_as_csv(noted), _payment_texts(spark, folder, more=True)),
+    }
+    for dt, (csv, json) in extracts.items():
+        files = {"marketing/email_sends": csv, "payments/transactions": json}
+        log = loads.ingest(spark, files, scratch.path, dt, run_id=dt, json_lines=True)
+        loads.append_log(log, scratch.path)
+    log = spark.read.parquet(f"{scratch.path}/ingestion_log")
+    for table, column in (("email_sends", "batch note"), ("payment_transactions", "voucher")):
+        entity = BY_TABLE[table]
+        others = loads.other_columns(log, entity)
+        found = landing.read_landed(spark, scratch.path, entity, others=others)
+        bronze = scratch.stage(landing.read_partition(spark, scratch.path, entity, "2024-01-02"), table)
+        for layer, rows in (("landed", found), ("bronze", bronze.withColumn("dt", F.lit("2024-01-02")))):
+            counted = rows.groupBy("dt").agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.count(f"`{column}`").alias("filled"),
+                F.count_distinct(f"`{column}`").alias("different"),
+                F.max(f"`{column}`").alias("greatest"),
+            )
+            parts.append(counted.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stored_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the catalogue tables after a store, and a further one whose last model fails."""
+    place = Scratch(spark).path
+    prefix = f"s{place[-12:]}_"
+    for layer in LAYERS:
+        spark.sql(f"CREATE DATABASE {prefix}{layer} LOCATION '{place}/{layer}'")
+    shop(spark, folder).store(prefix=prefix)
+    broken = shop(spark, folder)
+    # A model that fails while it is written; the dimensions before it are written already.
+    broken.__dict__["fact_campaign_performance"] = broken.dim_date.selectExpr("raise_error('no such model') AS x")
+    try:
+        broken.store(prefix=prefix)
+    except Exception as problem:  # noqa: BLE001 - Spark's errors have no common type
+        if "no such model" not in str(problem):
+            raise
+    else:
+        raise AssertionError("the broken store was published")
+    tables = {layer: {n: spark.table(f"{prefix}{layer}.{n}") for n in names} for layer, names in LAYERS.items()}
+    return table_stats(tables)
+
+
 @query
 def json_extract_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Columns of two loads of payments, and that a new key is a drift."""
@@ -317,6 +409,22 @@ def campaign_attribution(spark: SparkSession, folder: str) -> DataFrame:
     return attributed_revenue(shop_.fact_email_engagement, shop_.fact_orders, shop_.dim_date)
 
 
+@query
+def attribution_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every send with every order that its customer placed within a week, row by row."""
+    shop_ = shop(spark, folder)
+    shop_.prepare("fact_email_engagement", "fact_orders")
+    sends = with_day(
+        shop_.fact_email_engagement.select("email_sk", "customer_sk", "send_date_key"), shop_.dim_date, "send_date_key", "send_day"
+    )
+    orders = shop_.fact_orders.where(~F.col("is_cancelled"))
+    orders = with_day(
+        orders.select("order_sk", F.col("customer_sk").alias("buyer_sk"), "order_date_key"), shop_.dim_date, "order_date_key", "order_day"
+    )
+    pairs = within_days(sends, orders, key=("customer_sk", "buyer_sk"), day=("send_day", "order_day"), days=7)
+    return pairs.select("email_sk", "order_sk", F.datediff("order_day", "send_day").alias("days"))
+
+
 @query
 def dense_key_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     """Dense key over every column: line numbers repeat within an order."""
@@ -332,13 +440,13 @@ def dense_key_hot(spark: SparkSession, folder: str) -> DataFrame:
     items = with_row_tag(spark.read.parquet(f"{folder}/lineitem.parquet"))
     rows = items.select(
         F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")).alias("group_key"),
-        "l_shipmode",
+        "l_returnflag",
         F.col("l_shipdate").cast("date").alias("ship_day"),
         "l_orderkey",
         "l_linenumber",
         ROW_TAG,
     )
-    order = ["group_key", "l_shipmode", "ship_day", "l_orderkey", "l_linenumber"]
+    order = ["group_key", "l_returnflag", "ship_day", "l_orderkey", "l_linenumber"]
     return dense_key(rows, order, "row_sk", Scratch(spark), ID_TYPE)
 
 
@@ -365,11 +473,32 @@ def dq_nulls(spark: SparkSession, folder: str) -> DataFrame:
     return _checks(spark, folder).nulls()
 
 
+def _schemas_and_rows(checks: Checks) -> DataFrame:
+    """Schema checks with the rows of the tables they are about."""
+    tables = {name: checks.table(name) for name in specs.SCHEMAS}
+    rows = table_stats({"gold": tables}).where("table_name IS NOT NULL").select("table_name", "row_count")
+    return checks.schemas().join(rows, "table_name")
+
+
 @query
 def dq_schema(spark: SparkSession, folder: str) -> DataFrame:
-    """Schema checks; they look at the models' columns only, so the tables are left empty."""
-    shop_ = shop(spark, folder, empty=True)
-    return Checks(spark, lambda name: shop_.table(name.split(".")[1]), id_type=ID_TYPE).schemas()
+    return _schemas_and_rows(_checks(spark, folder))
+
+
+@query
+def dq_schema_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Schema checks of tables of which one lacks a column and one has two columns of other types."""
+    checks = _checks(spark, folder)
+
+    def changed(name: str) -> DataFrame:
+        table = checks.table(name)
+        if name == "gold.dim_products":
+            return table.drop("sku")
+        if name == "gold.fact_orders":
+            return table.withColumns({c: F.col(c).cast(t) for c, t in RETYPED.items()})
+        return table
+
+    return _schemas_and_rows(Checks(spark, changed, id_type=ID_TYPE))
 
 
 @query
@@ -411,11 +540,10 @@ def dq_duplicates_planted(spark: SparkSession, folder: str) -> DataFrame:
         table = checks.table(name)
         if name not in specs.UNIQUE:
             return table
-        place = F.crc32(F.col(specs.UNIQUE[name][0]).cast("string").cast("binary"))
-        again = table.where(place % 40 == 1)
-        first = specs.UNIQUE[name][0]
-        lost = F.when(place % 40 != 2, F.col(first)).alias(first)
-        return table.select(*[lost if c == first else F.col(c) for c in table.columns]).unionByName(again)
+        key, number = repeats(name)
+        lost = F.when(F.expr(f"{number} % 40 <> 2"), F.col(key)).alias(key)
+        again = table.where(f"{number} % 40 = 1")
+        return table.select(*[lost if c == key else F.col(c) for c in table.columns]).unionByName(again)
 
     return Checks(spark, repeated, id_type=ID_TYPE).duplicates()
 
@@ -496,6 +624,15 @@ def dq_trend(spark: SparkSession, folder: str) -> DataFrame:
     return history.dq_trend(reports)
 
 
+@query
+def newest_report_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of many runs, stored by run: the failures of the newest, of which alone a partition is read."""
+    reports, place = role(spark, folder, "check_reports"), Scratch(spark).path
+    reports.repartition("run_id").write.partitionBy("run_id").json(f"{place}/checks")
+    newest = newest_report(spark, place, reports.drop("run_id").schema)
+    return newest.where(~F.col("passed"))
+
+
 @named("latest_failures")
 def latest_report_failures(spark: SparkSession, folder: str) -> DataFrame:
     return latest_failures(role(spark, folder, "check_reports"))

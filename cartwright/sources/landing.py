@@ -22,15 +22,22 @@ def entity_path(root: str, entity: Entity) -> str:
 def land(df: DataFrame, root: str, entity: Entity, dt: str) -> int:
     """Replace one ``dt`` partition and return its row count.
 
-    The rows are counted while they are written. An empty extract is refused before
-    anything is touched; other partitions are never touched.
+    The rows are counted while they are written. Only partitions that get rows are replaced, so
+    an empty extract, which is refused, has touched nothing.
     """
-    if df.isEmpty():
-        raise EmptyExtractError(f"{entity.key} has no rows for {dt}; nothing was written")
     seen = Observation()
-    observed = df.withColumn("dt", F.lit(dt)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _write(observed, entity_path(root, entity))
-    return seen.get["rows"]
+    write_day(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, entity, dt)
+    return refuse_empty(seen.get["rows"], entity, dt)
+
+
+def write_day(df: DataFrame, root: str, entity: Entity, dt: str) -> None:
+    _write(df.withColumn("dt", F.lit(dt)), entity_path(root, entity))
+
+
+def refuse_empty(rows: int, entity: Entity, dt: str) -> int:
+    if not rows:
+        raise EmptyExtractError(f"{entity.key} has no rows for {dt}; nothing was written")
+    return rows
 
 
 def land_days(df: DataFrame, root: str, entity: Entity, day: Column) -> None:
@@ -53,17 +60,34 @@ def _write(df: DataFrame, path: str) -> None:
     )
 
 
-def read_landed(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
-    """All landed days of an entity, with ``dt`` as text."""
-    schema = T.StructType([*entity.schema.fields, T.StructField("dt", T.StringType())])
-    return spark.read.schema(schema).parquet(entity_path(root, entity))
+def read_landed(
+    spark: SparkSession, root: str, entity: Entity, days: list[str] | None = None, others: list[str] | None = None
+) -> DataFrame:
+    """Landed days of an entity, all by default, with ``dt`` as text.
 
-
-def read_partition(spark: SparkSession, root: str, entity: Entity, dt: str) -> DataFrame:
+    Registered columns come first, then those that only some days have (null in the others), as text. Which these are
+    is taken from the load log where given (``others``, see ``loads.other_columns``), else from the footers
+    of the days that are read.
+    """
+    path = entity_path(root, entity)
+    known = {f.name for f in entity.schema} | {"dt"}
+    if others is None:
+        paths = [f"{path}/dt={dt}" for dt in days] if days else [path]
+        found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths).schema
+        others = [f.name for f in found if f.name not in known]
+    more = [T.StructField(c, T.StringType()) for c in others if c not in known]
+    schema = T.StructType([*entity.schema.fields, *more, T.StructField("dt", T.StringType())])
+    landed = spark.read.schema(schema).parquet(path)
+    return landed.where(F.col("dt").isin(days)) if days else landed
+
+
+def read_partition(
+    spark: SparkSession, root: str, entity: Entity, dt: str, others: list[str] | None = None
+) -> DataFrame:
     """Rows of one landed day; the filter prunes every other partition."""
-    return read_landed(spark, root, entity).where(F.col("dt") == dt).drop("dt")
+    return read_landed(spark, root, entity, [dt], others).drop("dt")
 
 
 def bronze(spark: SparkSession, root: str, entities, dt: str) -> dict[str, DataFrame]:
-    """The bronze tables of one day, by table name."""
+    """The bronze tables of one day, by table name, with all columns that were landed."""
     return {e.table: read_partition(spark, root, e, dt) for e in entities}

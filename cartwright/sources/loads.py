@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.sources import landing, profile
-from cartwright.sources.entities import BY_KEY, ENTITIES
+from cartwright.sources.entities import BY_KEY, ENTITIES, Entity
 from cartwright.sources.files import MISSING_TEXTS, read_text, typed
 
 # The columns of the load log.
@@ -84,43 +86,65 @@ def ingest(
     unknown = sorted(set(files) - set(BY_KEY))
     if unknown:
         raise KeyError(f"unknown entities: {unknown}")
-    log = []
-    for key, paths in files.items():
-        entity = BY_KEY[key]
+
+    def load(key: str) -> tuple:
+        entity, paths = BY_KEY[key], files[key]
         started, clock = datetime.now(timezone.utc), time.monotonic()
         status, rows, path, schema_hash, names, error = "failed", 0, "", "", "", ""
         try:
             texts = read_text(spark, entity, paths, json_lines)
-            # The fingerprint first: if it fails, the day already landed stays as it is.
-            schema_hash, names = entity_fingerprint(texts, key).first()
-            rows = landing.land(typed(texts, entity), root, entity, dt)
+            seen = Observation()
+            # Counted and profiled on their way to the landing zone; a load that fails replaces nothing.
+            observed = _cleaned(texts, entity).observe(seen, *profile.measures(texts.columns))
+            landing.write_day(typed(observed, entity), root, entity, dt)
+            counted = profile.from_measures(spark, texts.columns, seen.get)
+            rows = landing.refuse_empty(seen.get["rows"], entity, dt)
+            schema_hash, names = profile.fingerprint(_with_dtype(counted, entity)).first()
             path = f"{landing.entity_path(root, entity)}/dt={dt}"
             status = "success"
         except Exception as problem:  # noqa: BLE001 - any failure is logged, the rest go on
             error = f"{type(problem).__name__}: {problem}"
-        log.append(
-            (run_id, entity.source, entity.name, str(paths), status, rows, path, schema_hash,
-             names, error, started, datetime.now(timezone.utc), time.monotonic() - clock)
-        )
+        return (
+            run_id, entity.source, entity.name, str(paths), status, rows, path, schema_hash, names, error,
+            started, datetime.now(timezone.utc), time.monotonic() - clock,
+        )
+
+    if not files:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    # Entities do not depend on each other: their jobs fill the cluster side by side.
+    with ThreadPoolExecutor(len(files)) as pool:
+        log = list(pool.map(inheritable_thread_target(spark)(load), files))
     return spark.createDataFrame(log, LOG_SCHEMA)
 
 
-def entity_fingerprint(texts: DataFrame, key: str) -> DataFrame:
-    """Fingerprint of an extract as read, with missing-value texts blanked."""
-    entity = BY_KEY[key]
-    is_csv = entity.file_format == "csv"
-    cleaned = texts.select(
-        *[F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)).alias(c) if is_csv else F.col(c)
-          for c in texts.columns]
-    )
+def _cleaned(texts: DataFrame, entity: Entity) -> DataFrame:
+    """Missing-value texts of CSV blanked."""
+    if entity.file_format != "csv":
+        return texts
+    return texts.select(*[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in texts.columns])
+
+
+def _with_dtype(column_profile: DataFrame, entity: Entity) -> DataFrame:
     # JSON carries its own types: a quoted number stays text.
-    quoted = [] if is_csv else [
+    quoted = [] if entity.file_format == "csv" else [
         f.name for f in entity.schema if f.dataType.simpleString() == "string"
     ]
-    typed_profile = profile.with_dtype(
-        profile.column_profile(cleaned), list(entity.parsed_dates), quoted
-    )
-    return profile.fingerprint(typed_profile)
+    return profile.with_dtype(column_profile, list(entity.parsed_dates), quoted)
+
+
+def entity_fingerprint(texts: DataFrame, key: str) -> DataFrame:
+    """Fingerprint of an extract as read, with missing-value texts blanked."""
+    entity = BY_KEY[key]
+    return profile.fingerprint(_with_dtype(profile.column_profile(_cleaned(texts, entity)), entity))
+
+
+def other_columns(log: DataFrame, entity: Entity) -> list[str]:
+    """Columns beyond the registered ones that the logged loads of an entity have landed."""
+    loaded = log.where((F.col("status") == "success") & (F.col("source") == entity.source) & (F.col("entity") == entity.name))
+    names = loaded.select(F.explode(F.split("schema_columns", ",")).alias("name")).groupBy("name").count().collect()
+    known = {f.name for f in entity.schema}
+    # Names of columns, not rows.
+    return sorted(r["name"] for r in names if r["name"] not in known)
 
 
 def append_log(log: DataFrame, folder: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -29,29 +29,50 @@ def _tests(value: Column) -> dict[str, Column]:
     }
 
 
+def measures(columns: list[str]) -> list[Column]:
+    """``rows``, and for each column how many of its texts are present and read as each type."""
+    counts = [
+        F.count_if(test).alias(f"{position}_{name}")
+        for position, column in enumerate(columns)
+        for name, test in _tests(F.col(f"`{column}`").cast("string")).items()
+    ]
+    return [F.count(F.lit(1)).alias("rows"), *counts]
+
+
+def from_measures(spark: SparkSession, columns: list[str], found: dict[str, int]) -> DataFrame:
+    """A column profile from counted ``measures``: one row a column."""
+    names = list(_tests(F.lit("")))
+    rows = [
+        (position, column, found["rows"], *[found[f"{position}_{name}"] for name in names])
+        for position, column in enumerate(columns)
+    ]
+    counts = ", ".join(f"{name} bigint" for name in names)
+    return spark.createDataFrame(rows, f"position int, column_name string, row_count bigint, {counts}")
+
+
 def column_profile(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per column: how many texts are present and how many read as each type.
 
-    One pass over the data with map-side aggregation; the result has one row per group in
-    ``by`` and column, numbered by ``position``.
+    One aggregate over the rows as they are; its result, one row per group in ``by``, is turned into
+    one row per group and column, numbered by ``position``.
     """
     by = by or []
-    cells = F.array(
+    columns = [c for c in df.columns if c not in by]
+    counted = df.groupBy(*by).agg(*measures(columns))
+    names = list(_tests(F.lit("")))
+    each = F.array(
         *[
             F.struct(
                 F.lit(position).alias("position"),
                 F.lit(column).alias("column_name"),
-                F.col(column).cast("string").alias("_text"),
+                F.col("rows").alias("row_count"),
+                *[F.col(f"{position}_{name}").alias(name) for name in names],
             )
-            for position, column in enumerate(c for c in df.columns if c not in by)
+            for position, column in enumerate(columns)
         ]
     )
-    counts = [F.count_if(test).alias(name) for name, test in _tests(F.col("_text")).items()]
-    return (
-        df.select(*by, F.inline(cells))
-        .groupBy(*by, "position", "column_name")
-        .agg(F.count(F.lit(1)).alias("row_count"), *counts)
-    )
+    # Without groups an empty table has one row of counts, and no profile.
+    return counted.where("rows > 0").select(*by, F.inline(each))
 
 
 def with_dtype(profile: DataFrame, dates: list[str] = (), texts: list[str] = ()) -> DataFrame:

@@ -54,16 +54,3 @@ class Scratch:
         """Remove this object's own folder, once nothing reads its tables any more."""
         system, folder = self._folder()
         system.delete(folder, True)
-
-
-class SchemaOnly(Scratch):
-    """Keeps no rows: what is staged becomes an empty table with the same columns.
-
-    For looking at the columns of models without computing them.
-    """
-
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        return self.spark.createDataFrame([], df.schema)
-
-    def release(self) -> None:
-        """There is nothing to remove."""

@@ -176,3 +176,43 @@ def test_store_writes_catalogue_tables(spark, sample_day):
     assert spark.table("gold.metric_revenue_by_campaign").count() == 3
     again = open_landing(spark, sample_day[0], DAY, AS_OF).store()
     assert again["fact_orders"].count() == 7
+
+
+def test_a_failing_store_changes_nothing(spark, sample_day):
+    from sample_day import AS_OF, DAY
+
+    from cartwright.plans.publish import versions
+    from cartwright.plans.warehouse import open_landing
+
+    def store(fails=False, **more):
+        shop = open_landing(spark, sample_day[0], DAY, AS_OF, **more)
+        if fails:
+            shop.__dict__["metric_inventory_turnover"] = shop.dim_date.selectExpr("raise_error('no metric') AS x")
+        return shop.store(prefix="swap_")
+
+    store()
+    reader = spark.table("swap_gold.fact_orders")
+    assert reader.count() == 7
+    kept = {name: versions(spark, f"swap_{name}") for name in ("gold.fact_orders", "bronze.orders", "gold.dim_date")}
+    with pytest.raises(Exception, match="no metric"):
+        store(fails=True)
+    assert {name: versions(spark, f"swap_{name}") for name in kept} == kept
+    assert spark.table("swap_gold.fact_orders").count() == 7
+    store(last_day=date(2028, 12, 31))
+    assert spark.table("swap_gold.dim_date").count() == 1827
+    # A query that began before the swap still reads its version.
+    assert reader.count() == 7 and len(versions(spark, "swap_gold.fact_orders")) == 2
+    store()
+    assert len(versions(spark, "swap_gold.fact_orders")) == 2 and spark.table("swap_gold.dim_date").count() == 1461
+
+
+def test_a_plain_table_becomes_a_version(spark):
+    from cartwright.plans.publish import Publication, versions
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS old_style")
+    spark.range(3).write.saveAsTable("old_style.t")
+    one = Publication(spark)
+    one.write(spark.range(5), "old_style.t")
+    assert spark.table("old_style.t").count() == 3
+    one.publish()
+    assert spark.table("old_style.t").count() == 5 and versions(spark, "old_style.t")[0] == "old_style.t__before"

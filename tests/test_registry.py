@@ -19,7 +19,9 @@ COMPARED = (
     " dim_date dim_customers dim_products fact_order_items fact_inventory fact_campaign"
     " fact_purchase_orders customer_lifetime_value conversion_rate campaign_revenue"
     " inventory_turnover dense_key_lineitem bronze_partition load_request_check schema_profile"
-    " schema_drift dq_currency volume_by_source task_duration failure_log dq_trend"
+    " schema_drift dense_key_hot attribution_pairs newest_report_failures csv_orders_typed"
+    " csv_inventory_typed json_array_typed bronze_unknown_columns dq_schema dq_schema_faults dq_duplicates_planted"
+    " stored_tables dq_currency volume_by_source task_duration failure_log dq_trend"
 ).split()
 
 
