@@ -38,7 +38,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.subwords import blank_and_word, bpe_encoder, stretches
+from cartwright.llm.subwords import blank_and_word, bpe_encoder, piece_encoder, stretches
 from cartwright.sources.scratch import Scratch
 
 LANE = 256
@@ -88,26 +88,23 @@ class Pair:
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(byte_of[c] for c in token if c in byte_of)
         self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model_b)
-        self.size_b = self.pieces.get_piece_size()
-        self.bytes_b = [piece_bytes(self.pieces.id_to_piece(i), self.pieces.is_byte(i)) for i in range(self.size_b)]
+        pieces = sentencepiece.SentencePieceProcessor(model_proto=model_b)
+        self.encoder_b = piece_encoder(pieces)
+        self.size_b = pieces.get_piece_size()
+        self.bytes_b = [piece_bytes(pieces.id_to_piece(i), pieces.is_byte(i)) for i in range(self.size_b)]
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
 
-    @staticmethod
-    def _spells(spelled: list[bytes], ids: list[int], raw: bytes) -> bool:
-        return b"".join(map(spelled.__getitem__, ids)) == raw
-
     def tokens(self, texts: list[str | None]) -> Tokens:
         at = [i for i, t in enumerate(texts) if t]
         some = [f" {texts[i]}" for i in at]
         docs, a, b = [], [], []
-        ids_b = self.pieces.encode([t[1:] for t in some], num_threads=1) if some else []
-        for i, text, x, y in zip(at, some, self.encoder_a.encode(some), ids_b):
-            x, raw = np.frombuffer(x, "<u4"), text.encode()
-            if self._spells(self.bytes_a, x.tolist(), raw) and self._spells(self.bytes_b, y, raw):
+        for i, text, x, y in zip(at, some, self.encoder_a.encode(some), self.encoder_b.encode(some)):
+            x, y, raw = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), text.encode()
+            # A's tokens are cut from the text's bytes, so their length says whether all are there; B may rewrite a text.
+            if self.length_a[x].sum() == len(raw) and b"".join(map(self.bytes_b.__getitem__, y.tolist())) == raw:
                 docs.append(i)
                 a.append(x)
-                b.append(np.array(y, np.uint32))
+                b.append(y)
         both = [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in (a, b)]
         firsts = [np.cumsum([0, *map(len, x)])[:-1].astype(np.int64) for x in (a, b)]
         return Tokens(
@@ -176,18 +173,18 @@ def linked_ids(t: Tokens, groups: np.ndarray, doc: np.ndarray, size_b: int) -> t
 
 
 def _digits(size: int, signs: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal numbers with each sign behind, as rows of bytes and which of the bytes count."""
+    """Decimal numbers with each sign behind, as rows of bytes with zeros at the end, and their lengths."""
     words = [b"%d%c" % (i, s) for i in range(size) for s in signs]
     width = max(map(len, words))
     table = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
-    return table, table != 0
+    return table, np.array(list(map(len, words)), np.int64)
 
 
 class Spelling:
     """Groups as text: ``a1,a2|b1;a3|b2,b3``."""
 
     def __init__(self, size: int):
-        self.table, self.used = _digits(size, b",|;")
+        self.table, self.length = _digits(size, b",|;")
 
     def digests(self, t: Tokens, groups: np.ndarray) -> list[str]:
         n = len(t.a) + len(t.b)
@@ -197,9 +194,9 @@ class Spelling:
         sign_a, sign_b = np.zeros(len(t.a), np.int64), np.zeros(len(t.b), np.int64)
         sign_a[groups[:, 1] - 1], sign_b[groups[:, 3] - 1] = 1, 2
         codes[place_a], codes[place_b] = t.a * np.int64(3) + sign_a, t.b * np.int64(3) + sign_b
-        used = self.used[codes]
-        text = self.table[codes][used].tobytes()
-        ends = np.append(0, np.cumsum(used.sum(axis=1)))[np.append(t.first_a + t.first_b, n)]
+        text = self.table[codes].ravel()
+        text = text[text != 0].tobytes()
+        ends = np.append(0, np.cumsum(self.length[codes]))[np.append(t.first_a + t.first_b, n)]
         return [hashlib.sha256(text[i : j - 1]).hexdigest() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 

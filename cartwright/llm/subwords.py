@@ -25,6 +25,7 @@ WHITE = "\t-\r \x85\xa0" + "".join(
     map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+_BLANKS = re.compile(r" *[^ ]+(?: +\Z)?| +")
 
 
 def blank_and_word(text: str) -> list[str]:
@@ -32,6 +33,11 @@ def blank_and_word(text: str) -> list[str]:
     return _RUNS.findall(text)
 
 
+def blank_and_rest(text: str) -> list[str]:
+    """The same with blanks for white space; blanks at the end stay with the last word."""
+    return _BLANKS.findall(text)
+
+
 def folded_words(text: str) -> list[bytes]:
     """Words between ASCII blanks, ASCII words lower-cased: for tokenizers that drop white space and case."""
     raw = text.encode()
@@ -90,6 +96,22 @@ def bpe_encoder(spec: str, chunks: Callable[[str], list], specials_are_text: boo
     return Encoder(encode_all, chunks, lambda text: any(s in text for s in specials))
 
 
+def piece_encoder(pieces) -> Encoder:
+    """From a sentence-piece processor that puts a blank in front; takes texts with that blank.
+
+    If no piece has a blank behind another character, no merge crosses the place before a blank, and
+    texts are split there. With a vocabulary of another kind they are encoded as a whole, and so is a text with the
+    blank's own mark, which would be read as a blank.
+    """
+    vocabulary = (pieces.id_to_piece(i) for i in range(pieces.get_piece_size()))
+    inner = any("▁" in p.lstrip("▁") for p in vocabulary)
+
+    def encode_all(chunks: list[str]) -> list[list[int]]:
+        return pieces.encode([c[1:] for c in chunks], num_threads=1)
+
+    return Encoder(encode_all, blank_and_rest, lambda text: inner or "▁" in text)
+
+
 def stretches(sizes: list[int | None], bound: int) -> list[tuple[int, int]]:
     """Stretches [from, to) of about ``bound`` in size, at least one text each."""
     cuts, start, total = [], 0, 0
