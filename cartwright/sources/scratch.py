@@ -34,6 +34,7 @@ class Scratch:
         self.spark = spark
         self.path = f"{(root or scratch_root(spark)).rstrip('/')}/cartwright-{uuid.uuid4().hex}"
         self._ends_with_session = False
+        self._paths: dict[int, str] = {}
 
     def _folder(self):
         jvm = self.spark.sparkContext._jvm
@@ -48,7 +49,15 @@ class Scratch:
             system, folder = self._folder()
             system.deleteOnExit(folder)
             self._ends_with_session = True
-        return self.spark.read.schema(df.schema).parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(staged)] = path
+        return staged
+
+    def drop(self, *staged: DataFrame) -> None:
+        """Remove staged tables that nothing reads any more: whatever was made of them is staged itself."""
+        system, _ = self._folder()
+        for df in staged:
+            system.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(df))), True)
 
     def release(self) -> None:
         """Remove this object's own folder, once nothing reads its tables any more."""
