@@ -38,7 +38,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.subwords import blank_and_word, bpe_encoder, piece_encoder, stretches
+from cartwright.llm.subwords import blank_and_word, bpe_encoder, byte_alphabet, piece_encoder, stretches
 from cartwright.sources.scratch import Scratch
 
 LANE = 256
@@ -49,13 +49,6 @@ HOT = 1 << 19
 WIDE = 1 << 12
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 def piece_bytes(piece: str, is_byte: bool) -> bytes:
     """A piece's text: <0xHH> is a byte, U+2581 a blank."""
     return bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()

@@ -8,20 +8,22 @@ bound, bin completion looks for better ones: the bin of the largest item left is
 of smaller items, fillings that another one dominates are left out, and a branch ends when the
 space it has wasted cannot lead to fewer bins than the best solution so far. Now and then the rest is packed by best fit, which
 may give a new best solution. The search ends when the bound is reached, when nothing is
-left to try, or after ``nodes`` fillings (then the best solution so far stands).
+left to try, or after ``steps`` steps (then the best solution so far stands).
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 
 Pattern = tuple[tuple[int, int], ...]  # (size, items of it in a bin)
 
-NODES = 500
+#: Steps of the search, each an item put into or taken out of a filling, or a filling tried.
+STEPS = 100_000
+#: A filling that is tried costs as much as so many steps.
+TRIED = 50
 #: Of so many fillings, one has its rest packed by best fit.
 REFIT = 25
 #: Fillings that are looked at before the tightest of them is tried.
@@ -91,20 +93,34 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
 
 
 def _dominated(filling: Pattern, waste: int, left: dict[int, int], sizes: list[int]) -> bool:
-    """Whether a larger item could take the place of one, or of two, within the waste."""
+    """Whether a larger item could take the place of one, or one the place of two of few, within the waste."""
     items = [size for size, _ in filling]
-    sums = items + [a + b for i, a in enumerate(items) for b in items[i + 1 :]] + [2 * a for a, n in filling if n > 1]
-    for x in set(sums):
-        at = bisect_left(sizes, x + (x in items))
-        while at < len(sizes) and sizes[at] <= x + waste:
-            used = dict(filling).get(sizes[at], 0)
-            if left[sizes[at]] > used:
+    targets = [(x, x + 1) for x in items]
+    if len(items) <= 6:
+        targets += [(x, x) for x in (a + b for i, a in enumerate(items) for b in items[i + 1 :])]
+        targets += [(2 * a, 2 * a) for a, n in filling if n > 1]
+    used = dict(filling)
+    for x, least in targets:
+        for at in range(bisect_left(sizes, least), bisect_left(sizes, x + waste + 1)):
+            if left[sizes[at]] > used.get(sizes[at], 0):
                 return True
-            at += 1
     return False
 
 
-def fillings(room: int, left: dict[int, int], sizes: list[int], most_waste: int) -> Iterator[tuple[Pattern, int]]:
+class Budget:
+    """Steps that are left to a search."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spend(self, steps: int = 1) -> bool:
+        self.left -= steps
+        return self.left >= 0
+
+
+def fillings(
+    room: int, left: dict[int, int], sizes: list[int], most_waste: int, budget: Budget
+) -> Iterator[tuple[Pattern, int]]:
     """Undominated ways to fill ``room`` with items left, large items first, and what each wastes.
 
     ``sizes`` is in increasing order.
@@ -112,13 +128,11 @@ def fillings(room: int, left: dict[int, int], sizes: list[int], most_waste: int)
 
     def fill(room: int, at: int, so_far: Pattern) -> Iterator[tuple[Pattern, int]]:
         at = min(at, bisect_left(sizes, room + 1) - 1)
-        if at < 0 or room < sizes[0]:
-            if room <= most_waste and not _dominated(so_far, room, left, sizes):
-                yield so_far, room
-            return
         tight = True
         for i in range(at, -1, -1):
             for n in range(min(left[sizes[i]], room // sizes[i]), 0, -1):
+                if not budget.spend():
+                    return
                 tight = False
                 yield from fill(room - n * sizes[i], i - 1, (*so_far, (sizes[i], n)))
         if tight and room <= most_waste and not _dominated(so_far, room, left, sizes):
@@ -127,18 +141,29 @@ def fillings(room: int, left: dict[int, int], sizes: list[int], most_waste: int)
     yield from fill(room, len(sizes) - 1, ())
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+def tightest_first(found: Iterator[tuple[Pattern, int]]) -> Iterator[tuple[Pattern, int]]:
+    """The same in stretches, each in order of waste; a filling that wastes nothing ends a stretch."""
+    stretch: list[tuple[Pattern, int]] = []
+    for filling, lost in found:
+        stretch.append((filling, lost))
+        if not lost or len(stretch) == AHEAD:
+            yield from sorted(stretch, key=lambda x: x[1])
+            stretch = []
+    yield from sorted(stretch, key=lambda x: x[1])
+
+
+def bin_completion(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tuple[Pattern, int]]:
     """Patterns with their numbers of bins; together they hold ``counts`` items of each size."""
     counts = {size: n for size, n in counts.items() if n}
     best = best_fit(counts, capacity)
     fewest = sum(n for _, n in best)
     bound = lower_bound(counts, capacity)
     total = sum(size * n for size, n in counts.items())
-    spent = 0
+    budget, tried = Budget(steps), 0
 
     def branches(left: dict[int, int], chosen: tuple, bins: int, waste: int) -> Iterator[tuple]:
         """What remains after each filling around the largest item, as arguments of a further call."""
-        nonlocal best, fewest, spent
+        nonlocal best, fewest, tried
         sizes = sorted(left)
         largest = sizes[-1]
         rest = dict(left)
@@ -147,22 +172,22 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
             del rest[largest]
             sizes.pop()
         # One bin fewer than the best has this much space to waste.
-        found = fillings(capacity - largest, rest, sizes, (fewest - 1) * capacity - total - waste)
-        # The tightest of the next fillings first.
-        parts = iter(lambda: sorted(islice(found, AHEAD), key=lambda x: x[1]), [])
-        for filling, lost in chain.from_iterable(parts):
+        found = fillings(capacity - largest, rest, sizes, (fewest - 1) * capacity - total - waste, budget)
+        for filling, lost in tightest_first(found):
             pattern = dict(filling)
             pattern[largest] = pattern.get(largest, 0) + 1
             times = min(left[size] // n for size, n in pattern.items())
             while times:
-                spent += 1
+                tried += 1
+                if not budget.spend(TRIED):
+                    return
                 spare = (fewest - 1) * capacity - total - waste
                 if lost * times <= spare and bins + times < fewest:
                     after = {size: n - times * pattern.get(size, 0) for size, n in left.items()}
                     after = {size: n for size, n in after.items() if n}
                     taken = (chosen, (tuple(sorted(pattern.items(), reverse=True)), times))
                     if bins + times + lower_bound(after, capacity) < fewest:
-                        quick = best_fit(after, capacity) if not after or spent % REFIT == 1 else None
+                        quick = best_fit(after, capacity) if not after or tried % REFIT == 1 else None
                         if quick is not None and bins + times + sum(n for _, n in quick) < fewest:
                             best, fewest = quick, bins + times + sum(n for _, n in quick)
                             while taken:
@@ -174,7 +199,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
                 times //= 2
 
     open_branches = [branches(counts, (), 0, 0)] if fewest > bound else []
-    while open_branches and fewest > bound and spent < nodes:
+    while open_branches and fewest > bound and budget.left > 0:
         deeper = next(open_branches[-1], None)
         if deeper is None:
             open_branches.pop()

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.bin_completion import NODES, Pattern, bin_completion
+from cartwright.llm.bin_completion import STEPS, Pattern, bin_completion
 from cartwright.llm.common import shuffle_partitions
 from cartwright.llm.subwords import Encoder, bpe_encoder, folded_words, stretches
 from cartwright.sources.scratch import Scratch
@@ -136,7 +136,7 @@ def pack(
     path: str,
     capacity: int = CAPACITY,
     end: int = END,
-    nodes: int = NODES,
+    steps: int = STEPS,
     with_ids: bool = False,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and the ids) of each piece."""
@@ -144,7 +144,7 @@ def pack(
     pieces = Scratch(spark).stage(token_pieces(documents, path, capacity, end, with_ids), "pieces")
     # At most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places = spark.sparkContext.broadcast(Places(bin_completion(counts, capacity, nodes)))
+    places = spark.sparkContext.broadcast(Places(bin_completion(counts, capacity, steps)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

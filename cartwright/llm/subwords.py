@@ -13,18 +13,23 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
 
 KEPT = 800_000
 LONGEST = 48
+SIGNS = tuple(".,;:!?")
+#: Latin letters with accents end here.
+LATIN_END = 0x250
 
 #: Unicode's white space.
 WHITE = "\t-\r \x85\xa0" + "".join(
     map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+_BEYOND_LATIN = re.compile(f"[^\\x00-{chr(LATIN_END - 1)}]")
 _BLANKS = re.compile(r" *[^ ]+(?: +\Z)?| +")
 
 
@@ -39,9 +44,10 @@ def blank_and_rest(text: str) -> list[str]:
 
 
 def folded_words(text: str) -> list[bytes]:
-    """Words between ASCII blanks, ASCII words lower-cased: for tokenizers that drop white space and case."""
+    """Words between ASCII blanks, A-Z lower-cased where that settles nothing else: for tokenizers that drop white space and case."""
     raw = text.encode()
-    if raw.isascii():
+    # A mark that combines with the letter before it could tell cases apart; Latin letters have none.
+    if raw.isascii() or not _BEYOND_LATIN.search(text):
         return raw.lower().split()
     return [w.lower() if w.isascii() else w for w in raw.split()]
 
@@ -60,38 +66,87 @@ class Encoder:
         return [np.array(ids, "<u4").tobytes() for ids in self.encode_all(texts)] if texts else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        apart = [i for i, t in enumerate(texts) if self.whole(t)]
-        parts = [self.chunks(t) for t in texts]
-        for i in apart:
-            parts[i] = []
-        known = self.known
-        missing = {c for chunks in parts for c in chunks if c not in known}
-        if len(known) + len(missing) > KEPT:
-            known.clear()
-            missing = {c for chunks in parts for c in chunks}
-        new = list(missing)
-        known.update(zip(new, self._ids(new)))
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in parts]
+        rows: list[list[bytes | None]] = []
+        holes: list[tuple[int, list, list[int]]] = []
+        apart = []
+        for i, text in enumerate(texts):
+            if self.whole(text):
+                apart.append(i)
+                rows.append([])
+                continue
+            chunks = self.chunks(text)
+            found = list(map(self.known.get, chunks))
+            if None in found:
+                holes.append((i, chunks, [k for k, ids in enumerate(found) if ids is None]))
+            rows.append(found)
+        missing = list({chunks[k] for _, chunks, places in holes for k in places})
+        new = dict(zip(missing, self._ids(missing)))
+        for i, chunks, places in holes:
+            for k in places:
+                rows[i][k] = new[chunks[k]]
+        if len(self.known) + len(new) > KEPT:
+            # What this batch has used goes on, and with it what is frequent.
+            used = {c for text in texts for c in self.chunks(text)}
+            self.known = {c: self.known[c] for c in used if c in self.known}
+        self.known.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
+        out = list(map(b"".join, rows))
         for i, ids in zip(apart, self._ids([texts[i] for i in apart])):
             out[i] = ids
-        for chunk in new:
-            if len(chunk) > LONGEST:
-                del known[chunk]
         return out
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def plain_word(text: str) -> tuple[str, str] | None:
+    """A word of Latin letters, and the one sign behind it; None for all else.
+
+    Every pattern cuts between the two and nowhere else.
+    """
+    word, sign = (text[:-1], text[-1]) if text[-1:] in SIGNS else (text, "")
+    return (word, sign) if word.isalpha() and ord(max(word)) < LATIN_END else None
+
+
 def bpe_encoder(spec: str, chunks: Callable[[str], list], specials_are_text: bool) -> Encoder:
-    """From the text of a tokenizer file; a special token's string in a text is that token, or plain text."""
+    """From the text of a tokenizer file; a special token's string in a text is that token, or plain text.
+
+    Plain words go to the file's merges at once, past its normalizer and pattern, which would leave
+    them as they are; all other chunks take the whole way.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(spec)
     tokenizer.encode_special_tokens = specials_are_text
     specials = [] if specials_are_text else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    merges = tokenizer.model
+    letter_of = {b: c for c, b in byte_alphabet().items()}
+
+    def merged(raw: bytes) -> list[int]:
+        return [t.id for t in merges.tokenize("".join(map(letter_of.__getitem__, raw)))] if raw else []
+
+    def quick(chunk: str | bytes) -> list[int] | None:
+        if isinstance(chunk, bytes):
+            # Case and composition are the normalizer's: here they have to be settled already.
+            text, blank = chunk.decode(), b""
+            if text.lower() != text or not unicodedata.is_normalized("NFC", text):
+                return None
+        else:
+            text, blank = (chunk[1:], b" ") if chunk[0] == " " else (chunk, b"")
+        parts = plain_word(text)
+        return None if parts is None else merged(blank + parts[0].encode()) + merged(parts[1].encode())
 
     def encode_all(chunks: list[str | bytes]) -> list[list[int]]:
-        texts = [c if isinstance(c, str) else c.decode() for c in chunks]
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [quick(c) for c in chunks]
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        texts = [c if isinstance(c, str) else c.decode() for c in (chunks[k] for k in rest)]
+        for k, e in zip(rest, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found[k] = e.ids
+        return found
 
     return Encoder(encode_all, chunks, lambda text: any(s in text for s in specials))
 

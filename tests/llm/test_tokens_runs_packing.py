@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from cartwright.llm import alignment, bin_completion, packing, periodicity, queries
+from cartwright.llm import alignment, bin_completion, packing, periodicity, queries, subwords
 
 FOLDER = "/root/testdata/sf0.001"
 TOKENIZERS = "/opt/tokenizers"
@@ -48,7 +48,7 @@ def groups_by_hand(texts):
 
     a = Tokenizer.from_file(A)
     a.encode_special_tokens = True
-    letters = alignment.byte_alphabet()
+    letters = subwords.byte_alphabet()
     spelled_a = {i: bytes(letters[c] for c in t if c in letters) for t, i in json.load(open(A))["model"]["vocab"].items()}
     b = sentencepiece.SentencePieceProcessor(model_file=B)
     out = []
