@@ -19,7 +19,7 @@ Running totals never need a whole source in one task: a source's order is cut in
 run within stretches, and the stretches' sums are added up (a few thousand rows a source).
 
 Defined cases: null texts have size 0; nothing is taken of size 0, of sources of size 0 or
-without weight. A null source is a source of its own. Repeated rows count each. If the weighted
+without weight. A null source is a source of its own. Repeated rows count each; rows without an id are told apart by their texts. If the weighted
 sources can't cover all words within the cap, each is taken up to it. Columns of the
 documents are kept; result columns replace equally named ones. An empty table gives an empty one.
 """
@@ -128,8 +128,8 @@ def mix(
 
     ``schedule`` has (source, until, weight); without it the weights rotate through 1, 2, 3.
     """
-    taken, kept = _taken(documents, schedule, cap, seed)
-    return taken.orderBy(F.col("position").asc_nulls_last(), "_tag").select(*kept, *RESULTS)
+    taken = _taken(documents, schedule, cap, seed)
+    return taken.orderBy(F.col("position").asc_nulls_last(), "_tag").select(*_own(documents, RESULTS), *RESULTS)
 
 
 def in_training_order(
@@ -143,31 +143,43 @@ def in_training_order(
     Columns as in ``mix``, where taken and copies are the document's; position is the copy's own. Added
     are copy (from 1) and copy_taken, the words taken of this copy. Sums over copies: copy_taken.
     """
-    taken, kept = _taken(documents, schedule, cap, seed)
-    kept = [c for c in kept if c not in ("copy", "copy_taken")]
+    taken = _taken(documents, schedule, cap, seed)
     whole = [c for c in RESULTS if c not in ("position", "positions")]
-    each = taken.select(*kept, *whole, "_tag", F.posexplode("positions").alias("_copy", "position"))
+    each = taken.select(*_hidden(documents).values(), *whole, "_tag", F.posexplode("positions").alias("_copy", "position"))
     # All copies but a document's last are whole.
     words = F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("_copy"))
+    own = _own(documents, (*whole, "copy", "copy_taken", "position", "positions"))
     return each.orderBy("position", "_tag").select(
-        *kept, *whole, (F.col("_copy") + 1).alias("copy"), words.alias("copy_taken"), "position"
+        *own, *whole, (F.col("_copy") + 1).alias("copy"), words.alias("copy_taken"), "position"
     )
 
 
-def _taken(
-    documents: DataFrame, schedule: DataFrame | None, cap: int, seed: str
-) -> tuple[DataFrame, list[str]]:
-    """The unsorted mix with _tag, and the documents' columns that it keeps."""
+def _hidden(documents: DataFrame) -> dict[str, str]:
+    """Names for the documents' columns that nothing else here has."""
+    return {c: f"_document_{i}" for i, c in enumerate(documents.columns)}
+
+
+def _own(documents: DataFrame, results: tuple[str, ...]) -> list[Column]:
+    """The documents' columns under their own names, without those that ``results`` replace."""
+    return [F.col(h).alias(c) for c, h in _hidden(documents).items() if c.lower() not in results]
+
+
+def _taken(documents: DataFrame, schedule: DataFrame | None, cap: int, seed: str) -> DataFrame:
+    """The unsorted mix with _tag; the documents' columns under hidden names."""
     spark = documents.sparkSession
-    words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0)).cast("bigint")
-    words = F.when(F.col("text").isNull(), F.lit(0).cast("bigint")).otherwise(words)
-    # Position in the source's order: a hash of the id, equal ids by size.
-    tag = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
+    hidden = _hidden(documents)
+    doc_id, text, source = (F.col(hidden[c]) for c in ("doc_id", "text", "source"))
+    words = F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("bigint")
+    words = F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(words)
+    # Position in the source's order: a hash of the id, without one of the text; equal ones by size.
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("without id "), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    tag = F.md5(F.concat_ws(":", F.lit(seed), name).cast("binary"))
     stretches = 4 * shuffle_partitions(spark)
     stretch = F.floor(F.conv(F.substring("_tag", 1, 8), 16, 10).cast("bigint") * stretches / (1 << 32))
     sized = (
-        documents.withColumn("size", words)
-        .withColumn("_key", source_key(F.col("source")))
+        documents.select(*[F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
+        .withColumn("size", words)
+        .withColumn("_key", source_key(source))
         .withColumn("_tag", tag)
         .withColumn("_stretch", stretch.cast("int"))
     )
@@ -193,15 +205,12 @@ def _taken(
         for e in range(cap)
     ]
     places = [F.when(c > 0, _position(start + F.col("source_size") * e)) for e, c in enumerate(copies)]
-    clashing = {"source_size", "target", "phases", "demand"} & set(documents.columns)
-    taken = (
-        sized.drop(*clashing)
-        .withColumn("_start", F.sum("size").over(order) - F.col("size"))
+    # Every stretch has its sum, so the inner join loses no row.
+    return (
+        sized.withColumn("_start", F.sum("size").over(order) - F.col("size"))
         .join(stretch_rows, ["_key", "_stretch"])
         .withColumn("taken", sum(copies[1:], copies[0]))
         .withColumn("copies", sum(((c > 0).cast("int") for c in copies[1:]), (copies[0] > 0).cast("int")))
         .withColumn("position", F.when(F.col("taken") > 0, _position(start)))
         .withColumn("positions", F.array_compact(F.array(*places)))
     )
-    # Every stretch has its sum, so the inner join loses no row.
-    return taken, [c for c in documents.columns if c not in RESULTS]

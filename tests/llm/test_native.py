@@ -281,7 +281,31 @@ def test_mix_edges(spark):
     assert {r["taken"] for r in _mixed(spark, [(1, None, None)])} == {0}
     clash = spark.createDataFrame([(1, "x y", "a", 7, "z")], "doc_id long, text string, source string, taken int, phases string")
     row = curriculum.mix(clash).first()
-    assert row["taken"] == 2 and row["target"] == 2.0
+    assert row["taken"] == 2 and row["target"] == 2.0 and row["phases"] == "z"
+
+
+@pytest.mark.parametrize("mixed", [curriculum.mix, curriculum.in_training_order])
+def test_mix_gives_the_documents_columns_back(spark, mixed):
+    names = ["demand", "phases", "_key", "_offset", "_start", "_stretch", "_tag", "reached", "until", "_document_0", "a b", "_copy", "total"]
+    rows = [(i, "w " * (i + 1), f"s{i % 2}", *[f"{n} of {i}" for n in names]) for i in range(12)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    out = mixed(docs).collect()
+    found = {r["doc_id"] for r in out}
+    assert found == set(range(12)) if mixed is curriculum.mix else found < set(range(12))
+    for r in out:
+        assert [r[n] for n in names] == [f"{n} of {r['doc_id']}" for n in names] and r["text"] == "w " * (r["doc_id"] + 1)
+    other = docs.select("doc_id", "text", "source", docs["demand"].alias("Size"), docs["phases"].alias("TARGET"))
+    row = mixed(other).first().asDict()
+    assert isinstance(row["size"], int) and isinstance(row["target"], float) and not {"Size", "TARGET"} & set(row)
+
+
+def test_mix_spreads_rows_without_an_id(spark):
+    rows = [(None, f"{i} " * (20 + i % 5), "a") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = curriculum._taken(docs, None, 3, "mix")
+    per_stretch = [r["count"] for r in taken.groupBy("_stretch").count().collect()]
+    assert max(per_stretch) < 100 and sum(per_stretch) == 400
+    assert sum(r["taken"] for r in curriculum.mix(docs).collect()) == sum(20 + i % 5 for i in range(400))
 
 
 # URL rules
