@@ -16,8 +16,10 @@ from cartwright.operators import (
     lookup,
     window_credit,
     with_row_tag,
+    within_days,
 )
 from cartwright.operators.key_ranges import Ranges
+from cartwright.operators.key_words import distinct_in, words
 from cartwright.sources.scratch import Scratch
 
 
@@ -304,3 +306,68 @@ def test_dense_key_evaluates_its_input_once(spark):
     keyed = dense_key(rows, ["id", "k"], "n", Scratch(spark), narrow=spark.range(1500))
     assert keyed.agg(F.max("n")).first()[0] == 1500
     assert counter.value == 1500
+
+
+# band join
+
+
+def band_rows(spark, seed, n, people):
+    rng = random.Random(seed)
+    days = [date(2026, 1, 1) + timedelta(days=i) for i in range(40)]
+    left = [(i, rng.choice(people), rng.choice([*days, None])) for i in range(n)]
+    right = [(i, rng.choice(people), rng.choice([*days, None])) for i in range(n)]
+    return (
+        left,
+        right,
+        spark.createDataFrame(left, "a int, person int, sent date"),
+        spark.createDataFrame(right, "b int, buyer int, placed date"),
+    )
+
+
+@pytest.mark.parametrize("busy", [100_000, 3, 1])
+def test_band_join_gives_every_pair_once(spark, busy):
+    left, right, x, y = band_rows(spark, 5, 300, [1, 1, 1, 2, 3, 4, None])
+    want = sorted(
+        (a, b)
+        for a, p, s in left
+        for b, q, d in right
+        if p is not None and p == q and s and d and 0 <= (d - s).days <= 7
+    )
+    pairs = within_days(x, y, key=("person", "buyer"), day=("sent", "placed"), days=7, busy=busy)
+    assert pairs.columns == ["a", "person", "sent", "b", "buyer", "placed"]
+    assert sorted((r.a, r.b) for r in pairs.collect()) == want
+
+
+def test_band_join_meets_on_true_pairs_only(spark):
+    # One busy person whose orders all precede the sends by a day: no pair, and none is compared.
+    x = spark.range(3000).selectExpr("id AS a", "id % 1 AS person", "date_add(DATE'2026-01-08', CAST(id % 1 AS INT)) AS sent")
+    y = spark.range(3000).selectExpr("id AS b", "id % 1 AS buyer", "date_add(DATE'2026-01-07', CAST(id % 1 AS INT)) AS placed")
+    pairs = within_days(x, y, key=("person", "buyer"), day=("sent", "placed"), days=7, busy=500)
+    assert pairs.count() == 0
+    assert "CartesianProduct" not in plan(pairs) and "BroadcastNestedLoop" not in plan(pairs)
+
+
+def test_band_join_refuses_equal_names(spark):
+    x = spark.createDataFrame([(1, date(2026, 1, 1))], "k int, d date")
+    with pytest.raises(ValueError, match="both sides have"):
+        within_days(x, x, key=("k", "k"), day=("d", "d"), days=1)
+
+
+# bitmap words
+
+
+def test_words_count_distinct_keys_of_any_sign(spark):
+    rng = random.Random(3)
+    keys = [rng.choice([rng.randint(-500, 500), rng.randint(-(1 << 62), 1 << 62), -1, 0, None]) for _ in range(4000)]
+    df = spark.createDataFrame([(k,) for k in keys], "key long").repartition(5)
+    row = words(df).agg(
+        F.sum(distinct_in(F.col("bits"))).alias("n"), F.sum("rows").alias("rows"), F.sum(F.when(F.col("word").isNull(), F.col("rows"))).alias("nulls")
+    ).first()
+    assert tuple(row) == (len(set(keys) - {None}), 4000, keys.count(None))
+
+
+def test_dense_keys_hand_on_one_row_a_word(spark):
+    partial = words(spark.range(0, 64_000, 1, 4).select(F.col("id").alias("key")))
+    partial.collect()
+    metrics = plan(partial)
+    assert "partial_bit_or" in metrics and partial.count() == 1000

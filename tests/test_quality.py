@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwright.quality import Checks, append_report, latest_failures, specs, summary
-from cartwright.quality.report import ChecksFailed
+from cartwright.quality.report import ChecksFailed, newest_report, report_runs
 
 NAMES = sorted(
     {*specs.REQUIRED, *specs.SCHEMAS, *specs.UNIQUE, "silver.seed_exchange_rates"}
@@ -142,3 +142,38 @@ def test_a_null_parent_key_lets_every_child_pass(spark, tables):
         "fk_gold.fact_inventory_daily.product_sk__gold.dim_products.product_sk",
         "fk_gold.fact_purchase_orders.product_sk__gold.dim_products.product_sk",
     }
+
+
+def test_references_shuffle_words_and_no_child_rows(spark, tables):
+    checks = Checks(spark, tables.get)
+    links = [(0, 0, "gold.fact_orders", "customer_sk", "gold.dim_customers", "customer_sk")]
+    text = checks.orphan_words(links)._jdf.queryExecution().toString()
+    first = text[: text.index("== Analyzed")] + text[text.index("== Physical Plan ==") :]
+    # Every exchange has words below it: an aggregate by word comes before it.
+    assert "partial_bit_or" in first and "Exchange hashpartitioning(key" not in first
+    assert checks.orphan_words(links).count() == 0
+
+
+def test_equal_hashes_do_not_make_duplicates(spark, tables, monkeypatch):
+    # With a hash that tells nothing apart, texts are still compared as texts.
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("bigint"))
+    results = {r.check_id: r for r in Checks(spark, tables.get).duplicates().collect()}
+    assert all(r.passed for r in results.values())
+    payments = tables["gold.fact_payments"]
+    bad = {**tables, "gold.fact_payments": payments.unionByName(payments.limit(2))}
+    results = {r.check_id: r.failing_rows for r in Checks(spark, bad.get).duplicates().collect()}
+    assert results["dup_gold.fact_payments.transaction_id"] == results["dup_gold.fact_payments.payment_sk"] == 2
+
+
+def test_newest_report_reads_one_partition(spark, tables, tmp_path):
+    root = str(tmp_path)
+    checks = Checks(spark, tables.get).row_checks(specs.row_rules()[:3])
+    assert report_runs(spark, root) == [] and newest_report(spark, root, checks.schema).count() == 0
+    for run in ("r1", "r3: late", "r2"):
+        append_report(checks, root, run, datetime(2026, 3, 11))
+    assert report_runs(spark, root) == ["r1", "r2", "r3: late"]
+    newest = newest_report(spark, root, checks.schema)
+    assert {r.run_id for r in newest.collect()} == {"r3: late"} and newest.count() == 3
+    text = newest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in text
+    assert newest._jdf.queryExecution().executedPlan().toString().count("JSON") <= 2

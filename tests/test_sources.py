@@ -260,3 +260,77 @@ def test_unset_scratch_root_is_under_the_warehouse():
     assert scratch_root(session(sql_warehouse_dir="w", checkpoint_dir="hdfs://x")) == "hdfs://x"
     with pytest.raises(ValueError):
         scratch_root(session())
+
+
+def test_columns_that_only_some_days_have_are_read_back(spark, tmp_path):
+    root = str(tmp_path)
+    rows = sends(spark, [(date(2026, 3, 1), "a", 1), (date(2026, 3, 1), "b", 2)])
+    landing.land(rows, root, SENDS, "2026-03-01")
+    landing.land(rows.withColumn("batch note", F.col("campaign_id")), root, SENDS, "2026-03-02")
+    landing.land(rows.withColumn("other", F.lit("o")), root, SENDS, "2026-03-03")
+    known = [f.name for f in SENDS.schema]
+    assert landing.read_partition(spark, root, SENDS, "2026-03-01").columns == known
+    second = landing.read_partition(spark, root, SENDS, "2026-03-02")
+    assert second.columns == [*known, "batch note"]
+    assert sorted(r["batch note"] for r in second.collect()) == ["a", "b"]
+    every = landing.read_landed(spark, root, SENDS)
+    assert set(every.columns) == {*known, "batch note", "other", "dt"} and every.count() == 6
+    some = landing.read_landed(spark, root, SENDS, others=["other"])
+    assert some.columns == [*known, "other", "dt"]
+    assert {r.dt for r in some.where("other = 'o'").collect()} == {"2026-03-03"}
+    bronze = landing.bronze(spark, root, [SENDS], "2026-03-02")[SENDS.table]
+    assert "batch note" in bronze.columns
+
+
+def test_logged_columns_say_what_was_landed(spark, tmp_path):
+    header = ",".join(f.name for f in ITEMS.schema)
+    plain = write(tmp_path / "a.csv", header + "\n1,201,5,LAMP-A,Desk Lamp,1,1.00,0.00,1.00\n")
+    more = write(tmp_path / "b.csv", header + ",gift wrap\n1,201,5,LAMP-A,Desk Lamp,1,1.00,0.00,1.00,red\n")
+    root, key = str(tmp_path / "raw"), "postgres/order_items"
+    log = loads.ingest(spark, {key: plain}, root, "2026-03-10", "r1").unionByName(
+        loads.ingest(spark, {key: more}, root, "2026-03-11", "r2")
+    )
+    assert loads.other_columns(log, ITEMS) == ["gift wrap"]
+    assert loads.other_columns(log.where("run_id = 'r1'"), ITEMS) == []
+    landed = landing.read_landed(spark, root, ITEMS, others=loads.other_columns(log, ITEMS))
+    assert {(r.dt, r["gift wrap"]) for r in landed.collect()} == {("2026-03-10", None), ("2026-03-11", "red")}
+
+
+def test_a_load_evaluates_its_extract_once(spark, tmp_path, monkeypatch):
+    counter = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        counter.add(1)
+        return value
+
+    read = loads.read_text
+    monkeypatch.setattr(loads, "read_text", lambda *a: read(*a).withColumn("sku", counted("sku")))
+    header = ",".join(f.name for f in ITEMS.schema)
+    rows = "".join(f"{i},201,5,LAMP-A,Desk Lamp,1,1.00,0.00,1.00\n" for i in range(50))
+    path = write(tmp_path / "a.csv", header + "\n" + rows)
+    log = loads.ingest(spark, {"postgres/order_items": path}, str(tmp_path / "raw"), "2026-03-10").first()
+    assert (log.status, log.rows_ingested, counter.value) == ("success", 50, 50)
+    assert log.schema_hash == loads.entity_fingerprint(read(spark, ITEMS, path), "postgres/order_items").first().schema_hash
+
+
+def test_an_empty_or_failing_load_leaves_the_day(spark, tmp_path):
+    header = ",".join(f.name for f in ITEMS.schema)
+    good = write(tmp_path / "a.csv", header + "\n1,201,5,LAMP-A,Desk Lamp,1,1.00,0.00,1.00\n")
+    empty = write(tmp_path / "b.csv", header + "\n")
+    broken = write(tmp_path / "c.csv", header + "\n1,x1,5,LAMP-A,Desk Lamp,1,1.00,0.00,1.00\n")
+    root, key = str(tmp_path / "raw"), "postgres/order_items"
+    for path, status in ((good, "success"), (empty, "failed"), (broken, "failed")):
+        log = loads.ingest(spark, {key: path}, root, "2026-03-10").first()
+        assert log.status == status
+        assert landing.read_partition(spark, root, ITEMS, "2026-03-10").count() == 1
+    assert "EmptyExtractError" in loads.ingest(spark, {key: empty}, root, "2026-03-10").first().error_message
+
+
+def test_measures_are_the_profile(spark):
+    df = spark.createDataFrame([("1", "a", None), ("2", "", "2026-03-10"), (None, "true", "x")], "n string, t string, `d d` string")
+    counted = df.agg(*profile.measures(df.columns)).first().asDict()
+    one = sorted(map(tuple, profile.from_measures(spark, df.columns, counted).collect()))
+    two = profile.column_profile(df)
+    assert one == sorted(map(tuple, two.select(profile.from_measures(spark, df.columns, counted).columns).collect()))
+    assert profile.column_profile(df.limit(0)).count() == 0
