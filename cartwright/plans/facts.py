@@ -74,6 +74,7 @@ def fact_orders(
         ),
         exchange_rates,
     )
+    # The fact's columns.
     columns = [
         "order_id",
         "customer_sk",
@@ -118,6 +119,7 @@ def fact_order_items(
         {"product_sk": "product_sk", "unit_cost": "unit_cost"},
     )
     profit = F.col("line_total") - money(F.col("unit_cost") * F.col("quantity"))
+    # The fact's columns.
     columns = [
         "order_item_id",
         "order_sk",
@@ -155,6 +157,7 @@ def fact_payments(
         ),
         exchange_rates,
     )
+    # The fact's columns.
     columns = [
         "transaction_id",
         "order_sk",
@@ -198,6 +201,7 @@ def fact_inventory_daily(
         F.col("snapshot_date"),
         "snapshot_date_key",
     )
+    # The fact's columns.
     columns = [
         "snapshot_date_key",
         "product_sk",
@@ -226,6 +230,7 @@ def fact_campaign_performance(
     def per(numerator: str, denominator: str, digits: int, name: str) -> Column:
         return ratio(F.col(numerator), F.col(denominator), digits).alias(name)
 
+    # The fact's columns.
     columns = [
         "campaign_date_key",
         "platform",
@@ -262,6 +267,7 @@ def fact_email_engagement(
         F.col("send_date"),
         "send_date_key",
     )
+    # The fact's columns.
     columns = [
         "send_date_key",
         "campaign_id",
@@ -303,6 +309,7 @@ def fact_purchase_orders(
         "created_date_key",
     )
     late = F.col("expected_delivery_date") < F.lit(as_of)
+    # The fact's columns.
     columns = [
         "po_id",
         "supplier_id",

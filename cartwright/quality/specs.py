@@ -145,6 +145,7 @@ def _cents(check: str, table: str, left: str, right: str, only: str = "") -> Row
     )
 
 
+# Ids, texts and conditions of the remaining row checks.
 ROW_RULES = (
     RowRule(
         "currency_usd_conversion_positive",
@@ -171,6 +172,7 @@ ROW_RULES = (
     _cents("po_total", "fact_purchase_orders", "po_total", "ordered_qty * unit_cost"),
 )
 
+# Columns that must not be negative.
 NON_NEGATIVE = {
     "gold.fact_orders": ("total_amount", "total_amount_usd"),
     "gold.fact_order_items": ("unit_price",),
