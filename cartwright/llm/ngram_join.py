@@ -1,7 +1,7 @@
 """Documents whose sets of word n-grams are alike: an exact Jaccard join, as components.
 
 Sets and order. A document's set holds the hashes of its distinct n-word shingles. All sets are
-ordered by one order, rare shingles first: a table of fixed size counts the shingles of all
+ordered by one order, rare shingles first: a table of bounded size, which grows with the texts, counts the shingles of all
 documents by a part of the hash, and the order is (count's level, hash). The table only
 makes the order good; any order gives right results.
 
@@ -45,7 +45,8 @@ from cartwright.llm.bloom import contains, filter_bits, seen_twice
 from cartwright.llm.components import components
 from cartwright.sources.scratch import Scratch
 
-CELLS = 1 << 22  # of the table of counts
+#: Of the table of counts: about a cell a word, within these bounds.
+LEAST_CELLS, MOST_CELLS = 1 << 18, 1 << 24
 CLASSES = 128  # of the suffix filter
 PARITIES = 512
 NO_ID = (1 << 63) - 1
@@ -98,23 +99,25 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
             yield batch.slice(start, rows)
 
 
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+def _cell(hashes: np.ndarray, cells: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)
 
 
 def _levels(texts: DataFrame, n: int) -> bytes:
-    """For each cell of the table of counts a level, eight to an octave: ``CELLS`` bytes."""
+    """For each cell of the table of counts a level, eight to an octave: ``MOST_CELLS`` bytes at most."""
     schema = "stretch int, counts binary"
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cells = min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // 6).bit_length()))
 
     def batch_of(counts: np.ndarray, stretch: int) -> pa.RecordBatch:
         packed = zstandard.compress(counts.tobytes(), 1)
         return pa.RecordBatch.from_arrays([pa.array([stretch], pa.int32()), pa.array([packed])], ["stretch", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(cells, np.uint32)
         for batch in _slices(batches):
             for raw in batch.column(0).to_pylist():
-                np.add.at(counts, _cell(shingles(raw, n)), np.uint32(1))
+                np.add.at(counts, _cell(shingles(raw, n), cells), np.uint32(1))
         for k, part in enumerate(counts.reshape(-1, _STRETCH)):
             if part.any():
                 yield batch_of(part, k)
@@ -130,7 +133,7 @@ def _levels(texts: DataFrame, n: int) -> bytes:
 
     partitions = texts.sparkSession.sparkContext.defaultParallelism
     merged = texts.select("text").mapInArrow(count, schema).repartition(partitions, "stretch").mapInArrow(merge, schema)
-    levels = np.zeros(CELLS, np.uint8)
+    levels = np.zeros(cells, np.uint8)
     for row in merged.collect():
         at = row["stretch"] * _STRETCH
         levels[at : at + _STRETCH] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint8)
@@ -152,7 +155,7 @@ def _features(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 size = len(own)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64)
                 first = size - -(-num * size // den) + 1 if size else 0
-                order = np.lexsort((own, level_of[_cell(own)]))[:first]
+                order = np.lexsort((own, level_of[_cell(own, len(level_of))]))[:first]
                 counts = np.bincount((own & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
                 classes = counts.astype(np.uint16).tobytes() if counts.max(initial=0) < 1 << 16 else b""
                 odd = np.bincount((own >> np.uint64(7) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
@@ -254,7 +257,9 @@ def _verified(
     sets = texts.select("doc", "text", F.xxhash64("doc").alias("h")).mapInArrow(make, "doc long, n long, set binary")
     sets = scratch.stage(sets, "sets")
     alike = beside(beside(near, "a", sets), "b", sets).withColumn("shared", _overlap(True)).filter(enough)
-    return scratch.stage(alike.select("a", "b").distinct(), "links")
+    links = scratch.stage(alike.select("a", "b").distinct(), "links")
+    scratch.drop(sets, near)
+    return links
 
 
 def _same_id(features: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -271,14 +276,17 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     texts = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("binary").alias("text")
     )
-    features = scratch.stage(_features(texts, n, num, den), "features")
+    described = scratch.stage(_features(texts, n, num, den), "described")
+    # One narrow row a document; of the rest one a class is kept.
+    features = scratch.stage(described.select("doc", "n", "d1", "d2"), "features")
     classes = features.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc").alias("node"))
     classes = scratch.stage(classes, "classes")
-    first = features.join(classes.withColumnRenamed("node", "doc"), ["d1", "d2", "doc"], "left_semi")
+    first = described.join(classes.withColumnRenamed("node", "doc"), ["d1", "d2", "doc"], "left_semi")
     first = scratch.stage(
         first.dropDuplicates(["d1", "d2", "doc"]).select("doc", "n", "prefix", "classes", "parities"),
         "representatives",
     )
+    scratch.drop(described)
     postings = first.select("doc", "n", F.posexplode("prefix").alias("place", "token")).select(
         "token", "doc", "n", (F.col("n") - F.col("place") - 1).alias("rest")
     )
@@ -293,6 +301,7 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     )
     lists = scratch.stage(lists.filter("hub < last").drop("last"), "lists")
     shared = scratch.stage(postings.join(lists, "token"), "shared-postings")
+    scratch.drop(lists)
     hub = F.struct(F.shiftright("hub_at", 31).alias("n"), F.col("hub_at").bitwiseAND((1 << 31) - 1).alias("rest"))
     by_hub = shared.withColumn("h", hub).withColumn("m", F.struct("n", "rest"))
     pairs = by_hub.filter((F.col("hub") < F.col("doc")) & _may_be_alike("h", "m", num, den))
@@ -305,6 +314,7 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     labelled = scratch.stage(
         labelled.withColumn("component", F.coalesce("component", "doc")).drop("hub_at", "members"), "labelled"
     )
+    scratch.drop(shared)
     parts = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
     mixed = parts.groupBy("token").agg(
         F.max_by("component", F.col("members")).alias("largest"), F.count("*").alias("parts")
@@ -314,6 +324,7 @@ def similar_documents(documents: DataFrame, n: int = 5, num: int = 80, den: int
     place = (F.col("n") - F.col("rest") - 1).cast("int")
     rest = rest.filter(F.get("prefix", place) == F.col("token")).withColumn("before", F.slice("prefix", F.lit(1), place))
     rest = scratch.stage(rest.drop("prefix"), "mixed-postings")
+    scratch.drop(labelled, mixed)
     one, other = rest.filter("component <> largest").alias("x"), rest.alias("y")
     apart = (
         (F.col("x.token") == F.col("y.token"))
