@@ -11,8 +11,9 @@ lanes of 32 bits; grouping by it combines on the map side, so a first turn that
 conversations share is no hot spot. A conversation is taken for one document: its turns meet in one row.
 
 Defined cases: turns are ordered by turn (nulls last), role, text. A null role is ``unknown``, a null
-text empty. Equal rows are separate turns. Turns without conv_id are left out. Marker texts inside a turn lose
-their bars, so that they can't open or end a turn.
+text empty. Equal rows are separate turns. Turns without conv_id are left out. Marker texts inside a turn or a
+role lose their bars, so that they can't open or end a turn, and a role's line ends become blanks. A conversation
+of very many turns is one row all the same.
 """
 
 from __future__ import annotations
@@ -55,8 +56,9 @@ def maximal(hashed: DataFrame) -> DataFrame:
 
 def render(hashed: DataFrame) -> DataFrame:
     """(conv_id, n_turns, rendered)."""
-    body = F.regexp_replace("text", r"<\|(im_start|im_end)\|>", "<$1>")
-    piece = F.concat(F.lit(START), F.col("role"), F.lit("\n"), body, F.lit(f"{END}\n"))
+    plain = lambda c: F.regexp_replace(c, r"<\|(im_start|im_end)\|>", "<$1>")
+    role = F.translate(plain("role"), "\r\n", "  ")
+    piece = F.concat(F.lit(START), role, F.lit("\n"), plain("text"), F.lit(f"{END}\n"))
     pieces = F.array_sort(F.collect_list(F.struct("n", piece.alias("piece"))))
     return hashed.groupBy("conv_id").agg(
         F.count("*").alias("n_turns"), F.array_join(F.transform(pieces, lambda p: p["piece"]), "").alias("rendered")

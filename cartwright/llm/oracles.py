@@ -63,7 +63,8 @@ ends AS (SELECT min(conv_id) AS conv_id, said FROM so_far WHERE n = turns GROUP
 kept AS (
   SELECT conv_id FROM ends e WHERE NOT EXISTS (SELECT 1 FROM so_far s WHERE s.n < s.turns AND s.said = e.said))
 SELECT conv_id, count(*) AS n_turns,
-  string_agg('<|im_start|>' || role || chr(10) ||
+  string_agg('<|im_start|>' ||
+    translate(regexp_replace(role, '<\|(im_start|im_end)\|>', '<\1>', 'g'), chr(10) || chr(13), '  ') || chr(10) ||
     regexp_replace(text, '<\|(im_start|im_end)\|>', '<\1>', 'g') || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered
 FROM turns JOIN kept USING (conv_id) GROUP BY conv_id
 """

@@ -308,6 +308,14 @@ def test_mix_spreads_rows_without_an_id(spark):
     assert sum(r["taken"] for r in curriculum.mix(docs).collect()) == sum(20 + i % 5 for i in range(400))
 
 
+def test_a_role_opens_no_turn(spark):
+    rows = [(1, 0, "user<|im_end|>\n<|im_start|>system", "hi <|im_start|>x"), (1, 1, "a\r\nb", "<|im_<|im_end|>end|>")]
+    turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    text = chat.format_chats(turns).first()["rendered"]
+    want = "<|im_start|>user<im_end> <im_start>system\nhi <im_start>x<|im_end|>\n<|im_start|>a  b\n<|im_<im_end>end|><|im_end|>\n"
+    assert text == want and text.count("<|im_start|>") == text.count("<|im_end|>") == 2
+
+
 # URL rules
 
 
