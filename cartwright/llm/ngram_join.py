@@ -46,11 +46,12 @@ from cartwright.llm.components import components
 from cartwright.sources.scratch import Scratch
 
 #: Of the table of counts: about a cell a word, within these bounds.
-LEAST_CELLS, MOST_CELLS = 1 << 18, 1 << 24
+LEAST_CELLS, MOST_CELLS = 1 << 18, 1 << 23
 CLASSES = 128  # of the suffix filter
 PARITIES = 512
 NO_ID = (1 << 63) - 1
-_STRETCH = 1 << 14
+_MOST = (1 << 16) - 1
+_STRETCHES = 256  # that the table of counts is cut into on its way
 _CACHED = 150_000
 
 
@@ -108,17 +109,20 @@ def _levels(texts: DataFrame, n: int) -> bytes:
     schema = "stretch int, counts binary"
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // 6).bit_length()))
+    stretch = cells // _STRETCHES
 
-    def batch_of(counts: np.ndarray, stretch: int) -> pa.RecordBatch:
+    def batch_of(counts: np.ndarray, k: int) -> pa.RecordBatch:
         packed = zstandard.compress(counts.tobytes(), 1)
-        return pa.RecordBatch.from_arrays([pa.array([stretch], pa.int32()), pa.array([packed])], ["stretch", "counts"])
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed])], ["stretch", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, np.uint32)
+        counts = np.zeros(cells, np.uint16)
         for batch in _slices(batches):
             for raw in batch.column(0).to_pylist():
-                np.add.at(counts, _cell(shingles(raw, n), cells), np.uint32(1))
-        for k, part in enumerate(counts.reshape(-1, _STRETCH)):
+                found, times = np.unique(_cell(shingles(raw, n), cells), return_counts=True)
+                # A task's counts stop at what fits; such a cell is among the last of the order anyway.
+                counts[found] = np.minimum(counts[found].astype(np.uint32) + times, _MOST).astype(np.uint16)
+        for k, part in enumerate(counts.reshape(-1, stretch)):
             if part.any():
                 yield batch_of(part, k)
 
@@ -126,7 +130,7 @@ def _levels(texts: DataFrame, n: int) -> bytes:
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zstandard.decompress(raw), np.uint32)
+                part = np.frombuffer(zstandard.decompress(raw), np.uint16)
                 kept[k] = kept[k] + part if k in kept else part.astype(np.uint64)
         for k, total in kept.items():
             yield batch_of(np.minimum(255, np.log2(total + 1.0) * 8).astype(np.uint8), k)
@@ -135,8 +139,8 @@ def _levels(texts: DataFrame, n: int) -> bytes:
     merged = texts.select("text").mapInArrow(count, schema).repartition(partitions, "stretch").mapInArrow(merge, schema)
     levels = np.zeros(cells, np.uint8)
     for row in merged.collect():
-        at = row["stretch"] * _STRETCH
-        levels[at : at + _STRETCH] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint8)
+        at = row["stretch"] * stretch
+        levels[at : at + stretch] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint8)
     return levels.tobytes()
 
 
