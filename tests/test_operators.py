@@ -18,7 +18,7 @@ from cartwright.operators import (
     with_row_tag,
     within_days,
 )
-from cartwright.operators.key_ranges import Ranges
+from cartwright.operators.key_ranges import Ranges, range_of
 from cartwright.operators.key_words import distinct_in, words
 from cartwright.sources.scratch import Scratch
 
@@ -114,6 +114,18 @@ def test_ranges_of_a_crowded_value_go_on_with_the_next_columns(spark):
     assert max(sizes) < 2.2 * 1200 and any(len(s) > 1 for s in ranges.starts)
 
 
+def test_the_codes_of_a_row_are_computed_once_in_the_search_for_its_range(spark):
+    texts = spark.range(64).select(F.concat(F.lit("n"), F.col("id") % 8).alias("t"), F.col("id").alias("i"))
+    starts = [(1,), (1, 4), (3,), (3, 2), (3, 9), (6,)]
+    codes = [F.conv(F.substring("t", 2, 1), 16, 10).cast("bigint"), F.col("i")]
+    found = texts.withColumn("r", range_of(codes, starts))
+    assert plan(found).split("== Physical Plan ==")[1].count("conv(") == 1
+    for row in found.collect():
+        own = (int(row.t[1:]), row.i)
+        # A start without a second number comes before all that have one.
+        assert row.r == sum((*s, float("-inf"))[:2] <= own for s in starts)
+
+
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "a int, b string")
     assert dense_key(empty, ["a"], "k", Scratch(spark)).collect() == []
