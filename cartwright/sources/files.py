@@ -18,6 +18,11 @@ MISSING_TEXTS = [
 # Fixed patterns: a plain day, and the zone at the end of an instant.
 PLAIN_DAY = r"^\d{4}-\d{2}-\d{2}$"
 ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
+# Tokens of JSON: the inside of a text, a number as the reader takes it.
+JSON_TEXT = r'"((?:[^"\\]++|\\.)*+)"'
+JSON_NUMBER = r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?|[+-]?INF|[+-]?Infinity|NaN)"
+#: Outside texts: something nested in a row or other than arrays and rows, a quote of another kind, another encoding.
+JSON_NOT_FLAT = r"[\x00\x22'\uFEFF\uFFFD]|\{[^{}\[\]]*+[\[{]|\[[^{}\[\]]*+\["
 
 
 def read_text(
@@ -43,9 +48,30 @@ def read_text(
     known = [f.name for f in entity.schema]
     others = [f.name for f in found if f.name not in known]
     text_schema = T.StructType([T.StructField(name, T.StringType()) for name in [*known, *others]])
+    if not json_lines:
+        documents = spark.read.text(paths, wholetext=True)
+        # Values that folders name are left to the reader of JSON.
+        if documents.columns == ["value"] and _flat(documents):
+            return _array_rows(documents, text_schema)
     return reader.schema(text_schema).json(paths)
 
 
+def _flat(documents: DataFrame) -> bool:
+    """Whether all documents are rows of plain values, such as a database or a provider dumps."""
+    rest = F.regexp_replace("value", JSON_TEXT, "")
+    return documents.where(rest.rlike(JSON_NOT_FLAT)).isEmpty()
+
+
+def _array_rows(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of flat JSON documents, every value as the text it has there.
+
+    The reader of JSON files goes back to the file for the digits of each number, a positional read a
+    value; here numbers are quoted first, so that they are texts as they stand.
+    """
+    quoted = F.regexp_replace("value", f"{JSON_TEXT}|{JSON_NUMBER}", '"$1$2"')
+    return documents.select(F.inline(F.from_json(quoted, T.ArrayType(schema), {"mode": "FAILFAST"})))
+
+
 def _instant(value: Column) -> Column:
     """A text without a zone is taken as UTC, whatever the session zone is."""
     zone = (

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartwright.sources import landing, loads, profile
 from cartwright.sources.entities import BY_KEY
-from cartwright.sources.files import read_entity
+from cartwright.sources.files import read_entity, read_text
 
 SENDS = BY_KEY["marketing/email_sends"]
 ORDERS = BY_KEY["postgres/orders"]
@@ -63,6 +63,38 @@ def test_json_lines_equal_json_array(spark, tmp_path):
     assert (a[0].order_id, a[0].refund_flag, a[0].card_brand) == (5, True, None)
 
 
+def test_a_flat_json_array_is_read_without_going_back_for_its_numbers(spark, tmp_path):
+    rows = (
+        '[{"transaction_id": "say \\"1\\", 2.50 {[", "order_id": 5, "gross_amount": 1234567890123456.70, "voucher": 12.30},\n'
+        ' {"transaction_id": "-7", "order_id": -6, "gross_amount": 1e2, "refund_flag": false, "voucher": "x: 1"}, {"voucher": null}]'
+    )
+    texts = read_text(spark, PAYMENTS, write(tmp_path / "a.json", rows))
+    assert "FileScan json" not in texts._jdf.queryExecution().toString()
+    found = [(r.transaction_id, r.order_id, r.gross_amount, r.refund_flag, r.voucher) for r in texts.collect()]
+    assert found == [
+        ('say "1", 2.50 {[', "5", "1234567890123456.70", None, "12.30"), ("-7", "-6", "1e2", "false", "x: 1"), (None,) * 5
+    ]
+    # One object, nested values and other quotes are read as before.
+    for text, voucher in (('{"voucher": 1.0}', "1.0"), ('[{"voucher": {"a": 1.50}}]', '{"a": 1.50}'), ("[{'voucher': 'a \"1'}]", 'a "1')):
+        assert [r.voucher for r in read_text(spark, PAYMENTS, write(tmp_path / "b.json", text)).collect()] == [voucher]
+    for broken in ('[{"order_id": 01}]', '[{"order_id": 1.}]', '[{"order_id": 5]'):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_text(spark, PAYMENTS, write(tmp_path / "c.json", broken)).collect()
+
+
+def test_pages_of_an_array_do_not_grow_with_a_key(spark, tmp_path, monkeypatch):
+    from cartwright.registry import queries
+
+    orders = spark.sql(
+        "SELECT 7L AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, 10.25D AS o_totalprice,"
+        " TIMESTAMP_NTZ'2024-01-01 00:00:00' AS o_orderdate, '5-LOW' AS o_orderpriority FROM range(100)"
+    )
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(queries, "ROWS_OF_A_PAGE", 10, raising=False)
+    read = queries.json_array_typed(spark, str(tmp_path))
+    assert read.count() == 100 and len(read.inputFiles()) == 10
+
+
 def sends(spark, rows):
     base = spark.createDataFrame(rows, "send_date date, campaign_id string, customer_id long")
     return base.select(
