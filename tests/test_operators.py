@@ -320,6 +320,24 @@ def test_dense_key_evaluates_its_input_once(spark):
     assert counter.value == 1500
 
 
+def test_ranges_of_several_columns_come_from_the_narrow_rows(spark):
+    counter = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        counter.add(1)
+        return i
+
+    # Whatever is read of the rows counts them.
+    narrow = spark.range(0, 9000, 1, 4).select(F.lit(1).alias("day"), (F.col("id") % 900).alias("who"), "id")
+    rows = narrow.where(counted("id") >= 0).withColumnRenamed("id", "k")
+    with settings(spark, shuffle__partitions="4"):
+        keyed = dense_key(rows, ["day", "who", "k"], "n", Scratch(spark), narrow=narrow.select("day", "who"))
+        order = Window.orderBy("who", "k")
+        assert keyed.withColumn("want", F.row_number().over(order)).where("n <> want").count() == 0
+    assert counter.value == 9000
+
+
 # band join
 
 
