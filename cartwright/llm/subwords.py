@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable
 
-import numpy as np
-
 KEPT = 800_000
 LONGEST = 48
 SIGNS = tuple(".,;:!?")
@@ -52,6 +52,14 @@ def folded_words(text: str) -> list[bytes]:
     return [w.lower() if w.isascii() else w for w in raw.split()]
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids; for a chunk's few ids an array costs less than numpy's."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Encoder:
     """Encodes batches of texts as little-endian unsigned 32-bit ids.
 
@@ -63,7 +71,7 @@ class Encoder:
         self.known: dict[str | bytes, bytes] = {}
 
     def _ids(self, texts: list) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self.encode_all(texts)] if texts else []
+        return list(map(id_bytes, self.encode_all(texts))) if texts else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows: list[list[bytes | None]] = []
@@ -125,20 +133,31 @@ def bpe_encoder(spec: str, chunks: Callable[[str], list], specials_are_text: boo
     specials = [] if specials_are_text else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     merges = tokenizer.model
     letter_of = {b: c for c, b in byte_alphabet().items()}
+    # What a vocabulary's signs are, once and not behind every word.
+    sign_ids: dict[str, list[int]] = {"": []}
 
     def merged(raw: bytes) -> list[int]:
         return [t.id for t in merges.tokenize("".join(map(letter_of.__getitem__, raw)))] if raw else []
 
+    for sign in SIGNS:
+        sign_ids[sign] = merged(sign.encode())
+
     def quick(chunk: str | bytes) -> list[int] | None:
         if isinstance(chunk, bytes):
-            # Case and composition are the normalizer's: here they have to be settled already.
             text, blank = chunk.decode(), b""
+            if text.isascii():
+                word = text[:-1] if text[-1] in sign_ids else text
+                # Letters and signs of ASCII stand for themselves in the vocabulary.
+                if word.isalpha() and word.islower():
+                    return [t.id for t in merges.tokenize(word)] + sign_ids[text[len(word) :]]
+                return None
+            # Case and composition are the normalizer's: here they have to be settled already.
             if text.lower() != text or not unicodedata.is_normalized("NFC", text):
                 return None
         else:
             text, blank = (chunk[1:], b" ") if chunk[0] == " " else (chunk, b"")
         parts = plain_word(text)
-        return None if parts is None else merged(blank + parts[0].encode()) + merged(parts[1].encode())
+        return None if parts is None else merged(blank + parts[0].encode()) + sign_ids[parts[1]]
 
     def encode_all(chunks: list[str | bytes]) -> list[list[int]]:
         found = [quick(c) for c in chunks]

@@ -381,3 +381,20 @@ def test_pack_query_on_its_table(spark):
     assert len(rows) == len(want)
     counts = Counter(r["length"] for r in rows)
     assert len({r["sequence_id"] for r in rows}) == bin_completion.lower_bound(counts, 4096)
+
+
+def test_plain_words_and_signs_have_the_librarys_ids():
+    from array import array
+
+    from tokenizers import Tokenizer
+
+    with open(f"{queries.TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
+        spec = file.read()
+    tokenizer = Tokenizer.from_str(spec)
+    tokenizer.encode_special_tokens = False
+    encoder = subwords.bpe_encoder(spec, subwords.folded_words, specials_are_text=False)
+    texts = ["Plain WORDS, here.", "a . , b!! c", "it's x1 naïve? É, ß.", "", "supercalifragilistic: qzx;", "İx K"]
+    for _ in range(2):
+        for text, raw in zip(texts, encoder.encode(texts)):
+            assert list(array("I", raw)) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert subwords.id_bytes([1, 0x01020304]) == b"\x01\x00\x00\x00\x04\x03\x02\x01"
