@@ -64,3 +64,11 @@ def test_utc_datetime_ignores_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert tuple(row) == (datetime(2026, 3, 10, 23, 30), datetime(2026, 3, 10, 23, 30), 20260310)
+
+
+def test_a_text_of_ascii_alone_is_trimmed_of_its_one_space(spark):
+    texts = ["  a b ", "\u00a0 a\u3000", "\ta ", "é ", "   ", "\u2003", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in rows.select(clean_text(F.col("t"))).collect()] == ["a b", "a", "\ta", "é", "", "", "", None]
+    plan = rows.select(clean_text(F.col("t")))._jdf.queryExecution().toString()
+    assert "octet_length(t" in plan.split("== Physical Plan ==")[1]

@@ -401,3 +401,33 @@ def test_dense_keys_hand_on_one_row_a_word(spark):
     partial.collect()
     metrics = plan(partial)
     assert "partial_bit_or" in metrics and partial.count() == 1000
+
+
+@pytest.mark.parametrize("starts", [[], [(3,)], [(1,), (1, 4), (3,), (3, 2), (3, 9), (6,)]])
+def test_the_search_for_a_range_is_compiled_and_finds_what_the_column_does(spark, starts):
+    from cartwright.operators.key_ranges import with_range
+
+    rows = spark.range(200).select((F.col("id") % 9).alias("a"), (F.col("id") % 11).alias("b"))
+    codes = [F.col("a"), F.col("b")]
+    found = with_range(rows, codes, starts, "r")
+    assert found.columns == ["a", "b", "r"]
+    assert found.where(F.col("r") != range_of(codes, starts)).count() == 0
+    assert "lambda" not in plan(found).split("== Physical Plan ==")[1]
+    keyed = plan(dense_key(rows, ["a", "b"], "n", Scratch(spark)))
+    assert "lambda" not in keyed
+
+
+def test_a_tag_goes_on_only_where_the_order_leaves_columns_open(spark):
+    rows = with_row_tag(spark.range(9000).selectExpr("id % 3 AS a", "id AS b"))
+    written = []
+
+    class Noted(Scratch):
+        def stage(self, df, name):
+            written.append(plan(df).split("== Physical Plan ==")[1])
+            return super().stage(df, name)
+
+    for order in (["a", "b"], ["a"]):
+        keyed = dense_key(rows, order, "n", Noted(spark))
+        assert keyed.where("n <= 3000").agg(F.max("a")).first()[0] == 0 and keyed.count() == 9000
+    sorts = [next(x for x in p.splitlines() if "Sort [" in x) for p in written]
+    assert ["_row_tag" in x for x in sorts] == [False, True]
