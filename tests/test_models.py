@@ -216,3 +216,22 @@ def test_a_plain_table_becomes_a_version(spark):
     assert spark.table("old_style.t").count() == 3
     one.publish()
     assert spark.table("old_style.t").count() == 5 and versions(spark, "old_style.t")[0] == "old_style.t__before"
+
+
+def test_what_follows_from_a_facts_columns_is_neither_shuffled_nor_written(make, spark):
+    tables = make(orders=[order(1, 1), order(2, 1, order_status="cancelled", payment_status="open")])
+    shop = Warehouse(spark, tables, date(2026, 3, 11))
+    facts = shop.fact_orders
+    assert [(r.order_id, r.is_cancelled, r.is_paid) for r in facts.orderBy("order_sk").collect()] == [(1, False, True), (2, True, False)]
+    stored = spark.read.parquet(facts.inputFiles()[0]).columns
+    assert "order_status" in stored and not {"is_cancelled", "is_paid"} & set(stored)
+
+
+def test_customers_are_staged_once_for_their_key(make, spark):
+    customers = [dict(customer_id=i, email=f"a{i % 2}@x.com", created_at=DAY) for i in range(1, 5)]
+    shop = Warehouse(spark, make(customers=customers), date(2026, 3, 11))
+    names = []
+    stage = shop.scratch.stage
+    shop.scratch.stage = lambda df, name: names.append(name) or stage(df, name)
+    assert [r.canonical_customer_id for r in shop.dim_customers.orderBy("customer_sk").collect()] == [1, 1, 2, 2]
+    assert names == ["stg_customers", "customer_sk"]
