@@ -116,6 +116,8 @@ def dedup_lines(
             rows.append((b"\n".join(kept).decode("utf-8", "replace"), len(lines), len(lines) - len(kept)))
         return pd.DataFrame(rows, columns=["kept", "n_lines", "n_dropped"])
 
+    # A filter on its result would else be given a copy of it, and a task a second Python worker.
+    drop = drop.asNondeterministic()
     key, lines, done = fresh(documents, "_of"), fresh(documents, "_lines"), fresh(documents, "_done")
     lost = repeated_lines(documents, least).select(F.col("doc_id").alias(key), F.col("lines").alias(lines))
     joined = documents.join(lost, F.col("doc_id").eqNullSafe(F.col(key)), "left").drop(key)

@@ -33,6 +33,15 @@ def _dedup(spark, rows, columns="doc_id long, text string"):
     return sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in found), key=str)
 
 
+def test_line_dedup_takes_one_python_step_under_a_filter(spark):
+    rows = [(i, f"A line of several documents\nline {i}") for i in range(20)]
+    kept = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = kept.filter("n_dropped > 0 AND text <> ''")
+    plan = left._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert left.count() == 19
+
+
 def test_line_dedup_matches_brute_force(spark):
     rng = random.Random(5)
     pool = [f"Line number {i} of the pool" for i in range(40)] + ["short", "ÄÖÜ ÄÖÜ éé", "ÄÖÜ ÄÖÜ é", "  Padded Line here\t", ""]
