@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.sources import landing, profile
@@ -93,12 +93,12 @@ def ingest(
         status, rows, path, schema_hash, names, error = "failed", 0, "", "", "", ""
         try:
             texts = read_text(spark, entity, paths, json_lines)
-            seen = Observation()
             # Counted and profiled on their way to the landing zone; a load that fails replaces nothing.
-            observed = _cleaned(texts, entity).observe(seen, *profile.measures(texts.columns))
+            observed, seen = profile.observed(_cleaned(texts, entity))
             landing.write_day(typed(observed, entity), root, entity, dt)
-            counted = profile.from_measures(spark, texts.columns, seen.get)
-            rows = landing.refuse_empty(seen.get["rows"], entity, dt)
+            found = {name: n for part in seen for name, n in part.get.items()}
+            counted = profile.from_measures(spark, texts.columns, found)
+            rows = landing.refuse_empty(found["rows"], entity, dt)
             schema_hash, names = profile.fingerprint(_with_dtype(counted, entity)).first()
             path = f"{landing.entity_path(root, entity)}/dt={dt}"
             status = "success"

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Measures that one step counts: the code for those of many columns is too long for the JVM to compile.
+_AT_ONCE = 24
 # Patterns instead of casts: a failed cast costs an exception per value.
 _SHORT_INT = r"^\s*[+-]?\d{1,18}\s*$"
 _LONG_INT = r"^\s*[+-]?\d{19,}\s*$"
@@ -17,15 +19,21 @@ _DOUBLE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
 
 def _tests(value: Column) -> dict[str, Column]:
-    long_int = value.rlike(_LONG_INT) & value.try_cast("bigint").isNotNull()
+    # Most texts are no numbers: what is cheap and true of all that a pattern takes is asked before the pattern.
+    size = F.octet_length(value)
+    digit_or_sign = value < ":"
+    infinite = value.startswith("i") | value.startswith("I")
+    short_int = digit_or_sign & value.rlike(_SHORT_INT)
+    long_int = digit_or_sign & (size >= 19) & value.rlike(_LONG_INT) & value.try_cast("bigint").isNotNull()
+    day = digit_or_sign & (size >= 10) & (F.substring(value, 5, 1) == "-")
     return {
         "non_null": value.isNotNull(),
-        "int_like": value.rlike(_SHORT_INT) | long_int,
-        "double_like": value.rlike(_DOUBLE),
-        "bool_like": F.lower(value).isin("true", "false"),
+        "int_like": short_int | long_int,
+        "double_like": short_int | ((digit_or_sign | infinite) & value.rlike(_DOUBLE)),
+        "bool_like": size.between(4, 5) & F.lower(value).isin("true", "false"),
         # The pattern fixes the whole text; the cast refuses days and times that do not exist.
-        "date_like": value.rlike(_DATE) & value.try_cast("timestamp").isNotNull(),
-        "zoned": value.rlike(r"\d:\d.*(Z|[+-]\d{2}:?\d{2})$"),
+        "date_like": day & value.rlike(_DATE) & value.try_cast("timestamp").isNotNull(),
+        "zoned": value.contains(":") & value.rlike(r"\d:\d.*(Z|[+-]\d{2}:?\d{2})$"),
     }
 
 
@@ -39,6 +47,15 @@ def measures(columns: list[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), *counts]
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, list[Observation]]:
+    """``df`` with its ``measures`` counted wherever it is written, and what holds them then."""
+    counts, seen = measures(df.columns), []
+    for start in range(0, len(counts), _AT_ONCE):
+        seen.append(Observation())
+        df = df.observe(seen[-1], *counts[start : start + _AT_ONCE])
+    return df, seen
+
+
 def from_measures(spark: SparkSession, columns: list[str], found: dict[str, int]) -> DataFrame:
     """A column profile from counted ``measures``: one row a column."""
     names = list(_tests(F.lit("")))

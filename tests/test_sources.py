@@ -366,3 +366,37 @@ def test_measures_are_the_profile(spark):
     two = profile.column_profile(df)
     assert one == sorted(map(tuple, two.select(profile.from_measures(spark, df.columns, counted).columns).collect()))
     assert profile.column_profile(df.limit(0)).count() == 0
+
+
+def test_type_patterns_are_asked_last_and_decide_alike(spark):
+    texts = [None, "", " ", "1", " 12\t", "+7", "-0", "1.", ".5", "1e5", "1.5E-3 ", "inf", "Infinity", "-inf", "Inf", "İnf", "i", "x1", "12x",
+             "9" * 18, "9" * 19, "-" + "9" * 19, " 9223372036854775807\n", "true", "FALSE", " true", "truE\n", "tru", "2024-02-30", "2024-02-29",
+             "2024-02-29 10:11", "2024-02-29T10:11:12.5Z", "2024-02-29T10:11-05:00\n", " 2024-02-29", "at 10:11+0100", "12:3Z", "10:é1Z", "٣", ":", ";"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    long_int = "(v RLIKE r'^\\s*[+-]?\\d{19,}\\s*$' AND try_cast(v AS bigint) IS NOT NULL)"
+    plain = {
+        "non_null": F.col("v").isNotNull(),
+        "int_like": F.col("v").rlike(profile._SHORT_INT) | F.expr(long_int),
+        "double_like": F.col("v").rlike(profile._DOUBLE),
+        "bool_like": F.lower("v").isin("true", "false"),
+        "date_like": F.col("v").rlike(profile._DATE) & F.col("v").try_cast("timestamp").isNotNull(),
+        "zoned": F.col("v").rlike(r"\d:\d.*(Z|[+-]\d{2}:?\d{2})$"),
+    }
+    tests = profile._tests(F.col("v"))
+    assert list(tests) == list(plain)
+    both = [F.coalesce(side[n], F.lit(False)).alias(f"{n}{i}") for n in plain for i, side in enumerate((tests, plain))]
+    for row in rows.select("v", *both).collect():
+        for n in plain:
+            assert row[f"{n}0"] == row[f"{n}1"], (n, row["v"])
+    for n, test in tests.items():
+        before, pattern, _ = str(test).removeprefix("Column<'").lower().partition("rlike")
+        assert not pattern or "<" in before or "contains" in before, n
+
+
+def test_measures_of_a_wide_extract_are_counted_in_several_steps(spark, tmp_path):
+    df = spark.range(7).select(*[F.col("id").cast("string").alias(f"c{i}") for i in range(9)])
+    rows, seen = profile.observed(df)
+    rows.write.parquet(f"{tmp_path}/rows")
+    found = {name: n for part in seen for name, n in part.get.items()}
+    assert len(seen) > 1 and max(len(part.get) for part in seen) <= profile._AT_ONCE
+    assert found == df.agg(*profile.measures(df.columns)).first().asDict()
