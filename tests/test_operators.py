@@ -431,3 +431,25 @@ def test_a_tag_goes_on_only_where_the_order_leaves_columns_open(spark):
         assert keyed.where("n <= 3000").agg(F.max("a")).first()[0] == 0 and keyed.count() == 9000
     sorts = [next(x for x in p.splitlines() if "Sort [" in x) for p in written]
     assert ["_row_tag" in x for x in sorts] == [False, True]
+
+
+def test_the_search_compares_the_bytes_of_texts(spark):
+    rows = spark.range(9000).selectExpr(
+        "CAST(id % 2 AS BIGINT) AS a", "IF(id % 50 = 0, NULL, concat('SKU-', id % 700, repeat('x', id % 3))) AS b", "id AS c"
+    )
+    ranges = Ranges(rows, [F.col("a"), F.col("b"), F.col("c")], 64)
+    found = ranges.with_range(rows, "r")
+    assert max(map(len, ranges.starts)) > 1 and found.columns == ["a", "b", "c", "r"]
+    assert found.where(F.col("r") != ranges.of_row()).count() == 0
+    # Numbers of a text are needed for the sketch only, and not for each row.
+    text = plan(found).split("== Physical Plan ==")[1]
+    assert "conv(" not in text and "lambda" not in text
+
+
+def test_ranges_of_texts_that_differ_behind_all_steps_keep_their_order(spark):
+    same = "x" * 40
+    rows = spark.range(6000).selectExpr(f"IF(id % 10 = 0, 'a', concat('z{same}', IF(id % 2 = 0, 'b', 'aa'))) AS k")
+    with settings(spark, shuffle__partitions="8"):
+        keyed = dense_key(rows, ["k"], "n", Scratch(spark))
+        wrong = keyed.withColumn("want", F.row_number().over(Window.orderBy("k", "n"))).where("n <> want")
+        assert wrong.count() == 0
