@@ -235,3 +235,19 @@ def test_customers_are_staged_once_for_their_key(make, spark):
     shop.scratch.stage = lambda df, name: names.append(name) or stage(df, name)
     assert [r.canonical_customer_id for r in shop.dim_customers.orderBy("customer_sk").collect()] == [1, 1, 2, 2]
     assert names == ["stg_customers", "customer_sk"]
+
+
+def test_lookups_hash_small_shares_only_while_models_are_built(spark):
+    from cartwright.plans.warehouse import HASHED_SHARE, hashed_lookups
+
+    before = spark.conf.get(HASHED_SHARE)
+    with hashed_lookups(spark):
+        assert spark.conf.get(HASHED_SHARE) == spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.conf.get(HASHED_SHARE) == before
+    spark.conf.set(HASHED_SHARE, "1m")
+    try:
+        with hashed_lookups(spark):
+            assert spark.conf.get(HASHED_SHARE) == "1m"
+        assert spark.conf.get(HASHED_SHARE) == "1m"
+    finally:
+        spark.conf.unset(HASHED_SHARE)
