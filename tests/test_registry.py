@@ -52,3 +52,44 @@ def test_query_equals_sql(spark, database, name):
     actual = sorted([text(v) for v in row] for row in frame.select(*names).collect())
     assert len(actual) == len(expected)
     assert actual == expected
+
+
+def tiny_tables(spark, folder):
+    """A few rows of each input table."""
+    stamp = "TIMESTAMP_NTZ '1998-03-01 10:00:00'"
+    rows = {
+        "nation": "SELECT 1 AS n_nationkey, 'FRANCE' AS n_name",
+        "customer": "SELECT id AS c_custkey, concat('C', id) AS c_name, 1 AS c_nationkey, 1.5D AS c_acctbal, 'AUTO' AS c_mktsegment",
+        "part": "SELECT id AS p_partkey, concat('P', id) AS p_name, 'B' AS p_brand, 'SMALL' AS p_type, 3 AS p_size, 9.5D AS p_retailprice",
+        "orders": f"SELECT id AS o_orderkey, id % 4 AS o_custkey, 'F' AS o_orderstatus, 20.5D AS o_totalprice, {stamp} AS o_orderdate,"
+        " '1-URGENT' AS o_orderpriority",
+        "lineitem": "SELECT id AS l_orderkey, id % 4 AS l_partkey, id % 2 AS l_suppkey, 1 AS l_linenumber, 2.0D AS l_quantity,"
+        f" 8.5D AS l_extendedprice, 0.0D AS l_discount, 0.0D AS l_tax, 'N' AS l_returnflag, 'F' AS l_linestatus, {stamp} AS l_shipdate",
+        "events": f"SELECT id AS event_id, {stamp} AS ts, id % 4 AS user_id, if(id % 2 = 0, 'purchase', 'click') AS event_type,"
+        " 3.5D AS value, '{}' AS props",
+    }
+    for name, text in rows.items():
+        spark.sql(f"{text} FROM range({1 if name == 'nation' else 8})").write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_the_broken_store_writes_all_tables_before_its_last_model_fails(spark, tmp_path, monkeypatch):
+    from cartwright.plans.publish import Publication
+    from cartwright.plans.warehouse import LAYERS
+
+    written, write = [], Publication.write
+
+    def noted(self, df, full_name):
+        stored = write(self, df, full_name)
+        written.append((self.version, full_name.split(".")[1], stored.count()))
+        return stored
+
+    monkeypatch.setattr(Publication, "write", noted)
+    tiny_tables(spark, str(tmp_path))
+    rows = {r.table_name: r.row_count for r in QUERIES["stored_tables"](spark, str(tmp_path)).collect()}
+    first, second = sorted({version for version, _, _ in written})
+    names = {name for layer in LAYERS.values() for name in layer}
+    of = {v: {name: n for version, name, n in written if version == v} for v in (first, second)}
+    assert of[first].keys() == names
+    assert of[second].keys() == names - {"metric_inventory_turnover"}
+    assert all(of[first][name] == n == rows[name] for name, n in of[second].items())
+    assert rows["fact_order_items"] == 8 and rows["fact_orders"] == 12 and rows["metric_inventory_turnover"] > 0
