@@ -1,5 +1,6 @@
 """Edges of the models that the sample day does not reach."""
 
+import time
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwright.plans import silver
-from cartwright.plans.warehouse import Warehouse
+from cartwright.plans.warehouse import BUILDING, Warehouse, lean_disk
 from cartwright.sources.entities import ENTITIES
 
 DAY = datetime(2026, 3, 10)
@@ -251,3 +252,81 @@ def test_lookups_hash_small_shares_only_while_models_are_built(spark):
         assert spark.conf.get(HASHED_SHARE) == "1m"
     finally:
         spark.conf.unset(HASHED_SHARE)
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_build_go_when_their_job_has_ended(make, spark):
+    shop = Warehouse(spark, make(orders=[order(i, 1) for i in range(9)]), date(2026, 3, 11))
+    before = shuffle_files(spark)
+    shop.prepare("fact_orders")
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    # What reads the build keeps its shuffles as the session says.
+    assert shop.fact_orders.groupBy("customer_sk").count().count() == 1
+
+
+def test_settings_of_a_build_end_with_it_and_leave_the_sessions_own(spark):
+    def now():
+        return {key: spark.conf.get(key, None) for key in BUILDING}
+
+    before = now()
+    with lean_disk(spark):
+        assert now() == BUILDING
+    assert now() == before
+    key = next(iter(BUILDING))
+    spark.conf.set(key, "false")
+    try:
+        with lean_disk(spark):
+            assert now() == {**BUILDING, key: "false"}
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_only_columns_that_are_kept_are_shuffled_to_the_dimensions(make, spark):
+    customers = [dict(customer_id=i, email=f"a{i}@x.com", created_at=DAY) for i in range(1, 5)]
+    products = [dict(product_id=1, sku="S")]
+    shop = Warehouse(spark, make(customers=customers, products=products, orders=[order(1, 1)]), date(2026, 3, 11))
+    plans, stage = {}, shop.scratch.stage
+    shop.scratch.stage = lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or stage(df, name)
+    shop.prepare("fact_payments", "fact_email_engagement", "fact_inventory_daily", "fact_purchase_orders")
+    for name, key in (("order_sk", "customer_id"), ("payment_sk", "customer_id"), ("email_sk", "customer_id"),
+                      ("inventory_sk", "product_id"), ("po_sk", "sku")):
+        joins = [line for line in plans[name].splitlines() if "Join LeftOuter" in line]
+        # The calendar and the rates are joined below the dimensions.
+        assert len(joins) > 1 and f"({key}#" in joins[0], joins
+
+
+def test_copies_are_compressed_and_go_once_their_model_is_stored(make, spark, monkeypatch):
+    from cartwright.plans.publish import Publication
+
+    shop = Warehouse(spark, make(orders=[order(1, 1)]), date(2026, 3, 11))
+    staged, write = {}, Publication.write
+
+    def noted(self, df, full_name):
+        staged[full_name.split(".")[1]] = {name for name, _ in shop.scratch._staged.values()}
+        stored = write(self, df, full_name)
+        assert all(path.endswith(".zstd.parquet") for path in stored.inputFiles())
+        return stored
+
+    monkeypatch.setattr(Publication, "write", noted)
+    stored = shop.store(prefix="copies_")
+    assert stored["fact_orders"].count() == 1
+    assert "order_sk" in staged["fact_orders"] and "customer_sk" not in staged["fact_orders"]
+    assert staged["metric_order_conversion_rate"] == set()
+    copy = Warehouse(spark, make(orders=[order(1, 1)]), date(2026, 3, 11)).fact_orders
+    assert copy.inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_a_metric_that_was_asked_for_before_a_store_still_finds_its_copies(make, spark):
+    shop = Warehouse(spark, make(orders=[order(1, 1)]), date(2026, 3, 11))
+    asked = shop.metric_order_conversion_rate
+    assert asked.agg(F.sum("total_orders")).first()[0] == 1
+    assert shop.store(prefix="asked_")["metric_order_conversion_rate"].agg(F.sum("total_orders")).first()[0] == 1
