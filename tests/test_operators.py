@@ -453,3 +453,37 @@ def test_ranges_of_texts_that_differ_behind_all_steps_keep_their_order(spark):
         keyed = dense_key(rows, ["k"], "n", Scratch(spark))
         wrong = keyed.withColumn("want", F.row_number().over(Window.orderBy("k", "n"))).where("n <> want")
         assert wrong.count() == 0
+
+
+def test_numbers_are_found_by_words_as_by_a_plain_lookup(spark):
+    from cartwright.operators import lookup_number
+
+    def both(keys, wanted):
+        orders = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate(keys)], "id long, text string")
+        numbered = dense_key(orders, ["id", "text"], "sk", Scratch(spark))
+        rows = spark.createDataFrame([(k, i) for i, k in enumerate(wanted)], "id long, row int")
+        found = lookup_number(rows, numbered, "id", "sk")
+        wide = lookup(rows, numbered, "id", "id", {"sk": "sk"})
+        assert found.schema == wide.schema and sorted(map(repr, found.collect())) == sorted(map(repr, wide.collect()))
+        return "_bits" in found._jdf.queryExecution().optimizedPlan().toString()
+
+    dense = [*range(-200, -50), *range(-64, 64, 3), *range(1 << 40, (1 << 40) + 300), None, None]
+    wanted = [*range(-210, 200), *range((1 << 40) - 5, (1 << 40) + 310), None, 63, 64, -64, -65, 5]
+    dense = [*dict.fromkeys(dense), None]
+    assert both(dense, wanted)
+    # Repeated keys repeat the rows, and sparse keys are no fewer words.
+    assert not both([*dense, 5, 6, 6], wanted)
+    assert not both([k * 100 for k in range(50)], range(0, 5000, 50))
+    assert not both([], wanted)
+
+
+def test_order_lines_and_payments_are_not_shuffled_to_their_orders(spark):
+    from cartwright.operators import lookup_number
+
+    numbered = dense_key(spark.range(500), ["id"], "sk", Scratch(spark), "bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = lookup_number(spark.range(900), numbered, "id", "sk")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
